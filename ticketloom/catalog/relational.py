@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ticketloom import constants as K
 from ticketloom.catalog import standins as S
 from ticketloom.catalog.registry import query
-from ticketloom.functions import vectors
 from ticketloom.operators import (
     aggregates,
     feedback,
@@ -190,7 +189,7 @@ PROFILED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumbe
 
 def profile_sql(col: str) -> str:
     return f"""SELECT '{col}' AS "column", count(*) AS n_rows, count(*) - count({col}) AS missing,
-      count(DISTINCT {col}) AS "distinct", round(avg({col}), 6) AS mean, round(stddev_samp({col}), 6) AS std,
+      count(DISTINCT {col}) AS "distinct", round(avg({col}), 7) AS mean, round(stddev_samp({col}), 7) AS std,
       CAST(min({col}) AS DOUBLE) AS min, round(quantile_cont(CAST({col} AS DOUBLE), 0.25), 6) AS q25,
       round(quantile_cont(CAST({col} AS DOUBLE), 0.5), 6) AS median,
       round(quantile_cont(CAST({col} AS DOUBLE), 0.75), 6) AS q75, CAST(max({col}) AS DOUBLE) AS max,
@@ -201,8 +200,8 @@ def profile_sql(col: str) -> str:
 @query("data_profile", "A5", " UNION ALL ".join(profile_sql(c) for c in PROFILED))
 def data_profile(spark, sf):
     profile = aggregates.data_profile(S.table(spark, sf, "lineitem"), PROFILED)
-    rounded = {"mean", "std", "q25", "median", "q75"}
-    return profile.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in profile.columns])
+    digits = {"mean": 7, "std": 7, "q25": 6, "median": 6, "q75": 6}
+    return profile.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in profile.columns])
 
 
 @query("accuracy", "A6", S.with_(S.GRADED) + "SELECT round(avg(CAST(label = prediction AS DOUBLE)), 6) AS accuracy FROM graded")
@@ -433,8 +432,8 @@ def preview(spark, sf):
 )
 def nearest_k(spark, sf):
     docs = S.vector_docs(spark, sf)
-    first = docs.agg(F.min_by("embedding", "doc_id")).scalar()
-    nearest = sampling.nearest_k(docs, vectors.cosine_distance(F.col("embedding"), first), 5, "doc_id")
+    vector = docs.orderBy("doc_id").first()["embedding"]
+    nearest = sampling.nearest_k(docs, vector, 5, "doc_id")
     return nearest.select("doc_id", F.round("distance", 6).alias("distance"))
 
 

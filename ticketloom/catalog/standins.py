@@ -37,7 +37,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    return tickets_from_documents(table(spark, sf, "documents"))
+
+
+def tickets_from_documents(d: DataFrame) -> DataFrame:
     queue = (
         F.when(F.col("source").isin("src1", "src2", "src3"), K.PRODUCT_SUPPORT)
         .when(F.col("source").isin("src4", "src5"), K.OUTAGES_AND_MAINTENANCE)

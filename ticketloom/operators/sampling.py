@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions import text
+from ticketloom.functions.vectors import cosine_distance
 from ticketloom.operators.ordering import hash_fraction, hash_key, hashed_position, row_index
 
 
@@ -24,9 +27,10 @@ def first_matches(df: DataFrame, predicate: Column, n: int, id_col: str = "id")
     return df.where(predicate).orderBy(id_col).limit(n)
 
 
-def nearest_k(df: DataFrame, distance: Column, k: int, id_col: str) -> DataFrame:
-    """The ``k`` rows nearest to one query, given the distance expression."""
-    ranked = df.withColumn("distance", distance)
+def nearest_k(df: DataFrame, vector: Sequence[float], k: int, id_col: str, col: str = "embedding") -> DataFrame:
+    """The ``k`` rows nearest to one query vector; each task keeps ``k`` rows, and no row is shuffled."""
+    query = F.array(*[F.lit(float(x)) for x in vector])
+    ranked = df.withColumn("distance", cosine_distance(F.col(col), query)).where(F.col("distance").isNotNull())
     return ranked.orderBy(F.round("distance", 9), F.col(id_col)).limit(k)
 
 
