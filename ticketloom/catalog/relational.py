@@ -32,7 +32,7 @@ from ticketloom.operators import (
 )
 def cache_lookup(spark, sf):
     texts = S.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    found = joins.cache_lookup(texts, S.embedding_cache(spark, sf), S.MODEL)
+    found = joins.cache_lookup(joins.text_keys(texts, S.MODEL), S.embedding_cache(spark, sf))
     first = F.coalesce(F.col("embedding")[0].cast("double"), F.lit(-1.0))
     return found.select("id", "text_hash", F.col("embedding").isNotNull().alias("cached"), first.alias("first_value"))
 
@@ -57,7 +57,7 @@ def cache_misses(spark, sf):
 )
 def feedback_to_log(spark, sf):
     log = S.prediction_log(spark, sf)
-    given = feedback.valid_corrections(log, S.feedback(spark, sf))
+    given = feedback.valid_corrections(S.feedback(spark, sf))
     return joins.feedback_to_log(log, given).select("id", "predicted_queue", "correct_queue", "correct_urgency")
 
 
@@ -273,7 +273,7 @@ def balanced_weights(spark, sf):
 )
 def cache_hit_rate(spark, sf):
     texts = S.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    found = joins.cache_lookup(texts, S.embedding_cache(spark, sf), S.MODEL)
+    found = joins.cache_lookup(joins.text_keys(texts, S.MODEL), S.embedding_cache(spark, sf))
     return aggregates.cache_hit_rate(found).withColumn("hit_rate", F.round("hit_rate", 6))
 
 
@@ -479,7 +479,7 @@ def first_matches(spark, sf):
     + """SELECT id, subject, refined_queue, urgency_level, language, queue, body_length, answer_length,
            round(response_ratio, 6) AS response_ratio FROM enriched
          UNION ALL
-         SELECT id, input_text, CASE feedback_queue WHEN 'network' THEN 'Network / Infrastructure'
+         SELECT -id - 1, input_text, CASE feedback_queue WHEN 'network' THEN 'Network / Infrastructure'
            WHEN 'hardware' THEN 'Hardware / Device' WHEN 'security' THEN 'Security / Access' END,
            feedback_urgency, 'en', '', CAST(length(input_text) AS INTEGER), 0, 1e0
          FROM corrected WHERE feedback_queue IN ('network', 'hardware', 'security')""",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticketloom import constants as K
 from ticketloom.functions import text
 from ticketloom.operators.ordering import running_sums
+from ticketloom.operators.skew import lookup_join
 from ticketloom.operators.windows import share_of_total
 from ticketloom.session import cut_lineage
 
@@ -48,7 +49,7 @@ def strata_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def drop_rare_classes(df: DataFrame, label: str, minimum: int = 2) -> DataFrame:
     """Rows whose class has at least ``minimum`` of them."""
     counts = df.groupBy(label).agg(F.count("*").alias("__n")).where(F.col("__n") >= minimum)
-    return df.join(counts.select(label), label, "left_semi")
+    return lookup_join(df, counts.select(label), [label], "left_semi")
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:

@@ -18,15 +18,15 @@ def insert_ignore(new: DataFrame, existing: DataFrame, keys: list[str], order: l
     return unique.join(existing.select(*keys), keys, "left_anti")
 
 
-def valid_corrections(log: DataFrame, feedback: DataFrame, tie: str = "feedback_id") -> DataFrame:
-    """The latest valid correction per known prediction."""
-    usable = joins.known_feedback(log, validate_labels(feedback).where("valid").drop("valid"))
+def valid_corrections(feedback: DataFrame, tie: str = "feedback_id") -> DataFrame:
+    """The latest valid correction per prediction; tasks reduce their own rows before the shuffle."""
+    usable = validate_labels(feedback).where("valid").drop("valid")
     return latest_per_key(usable, ["prediction_id"], "feedback_at", tie)
 
 
 def apply_feedback(log: DataFrame, feedback: DataFrame, tie: str = "feedback_id") -> DataFrame:
     """The log with its correction columns replaced, NULLs included, where a correction was given."""
-    joined = joins.feedback_to_log(log, valid_corrections(log, feedback, tie))
+    joined = joins.feedback_to_log(log, valid_corrections(feedback, tie))
     given = F.col("corrected_at").isNotNull()
     changed = {
         "feedback_queue": F.when(given, F.col("correct_queue")).otherwise(F.col("feedback_queue")),
@@ -54,9 +54,10 @@ def append_feedback(
     """Training rows plus the corrected log rows in the same columns.
 
     Short correction labels become model classes by ``mapping`` (None keeps them); rows whose label
-    stands for no class are left out and can be listed with ``joins.unmapped_feedback``.
+    stands for no class are left out and can be listed with ``joins.unmapped_feedback``. Log ids are
+    numbered apart from ticket ids, so the added rows carry ``-id - 1``.
     """
-    rows = feedback_as_training_tickets(log, keywords, compat)
+    rows = feedback_as_training_tickets(log, keywords, compat).withColumn("id", -F.col("id") - 1)
     if mapping is not None:
         mapped = joins.map_feedback_labels(rows, mapping, "refined_queue")
         rows = mapped.where(F.col("feedback_class").isNotNull()).withColumn("refined_queue", F.col("feedback_class"))

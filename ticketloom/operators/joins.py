@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ticketloom import constants as K
 from ticketloom.functions import text
-from ticketloom.operators.skew import skew_join
+from ticketloom.operators.skew import lookup_join, skew_join
+from ticketloom.session import cut_lineage
 
 CACHE_KEYS = ["text_hash", "model_name"]
 
@@ -18,13 +19,17 @@ def with_text_hash(texts: DataFrame, model: str, col: str = "text") -> DataFrame
     return texts.withColumn("text_hash", text.text_hash(F.col(col))).withColumn("model_name", F.lit(model))
 
 
-def cache_lookup(texts: DataFrame, cache: DataFrame, model: str, col: str = "text", id_col: str = "id") -> DataFrame:
-    """Each text with the stored vector of its (hash, model), NULL if there is none.
+def text_keys(texts: DataFrame, model: str, col: str = "text", id_col: str = "id") -> DataFrame:
+    """(id, text_hash, model_name) of every text, stored: the texts themselves are read once."""
+    return cut_lineage(with_text_hash(texts, model, col).select(id_col, *CACHE_KEYS))
+
+
+def cache_lookup(keys: DataFrame, cache: DataFrame, id_col: str = "id") -> DataFrame:
+    """Each key of ``text_keys`` with the stored vector of its (hash, model), NULL if there is none.
 
     One text may make up a large part of the rows, so hot hashes are salted.
     """
-    stored = cache.where(F.col("model_name") == model).select(*CACHE_KEYS, "embedding")
-    return skew_join(with_text_hash(texts, model, col), stored, CACHE_KEYS, "left", spread_by=[id_col])
+    return skew_join(keys, cache.select(*CACHE_KEYS, "embedding"), CACHE_KEYS, "left", spread_by=[id_col])
 
 
 def distinct_texts(texts: DataFrame, col: str = "text") -> DataFrame:
@@ -61,16 +66,15 @@ def unknown_feedback(log: DataFrame, feedback: DataFrame) -> DataFrame:
 def decode_label(predictions: DataFrame, index: DataFrame, col: str = "prediction") -> DataFrame:
     """Adds ``class`` for the numeric prediction; ``index`` is the (class, index) table of the encoder.
 
-    The class table is small by nature; Spark broadcasts it when its measured size allows.
     """
     named = index.select(F.col("class"), F.col("index").cast("double").alias("__index"))
-    return predictions.join(named, F.col(col).cast("double") == F.col("__index"), "left").drop("__index")
+    keyed = predictions.withColumn("__index", F.col(col).cast("double"))
+    return lookup_join(keyed, named, ["__index"]).drop("__index")
 
 
 def attach_class_weight(df: DataFrame, weights: DataFrame, label: str) -> DataFrame:
     """Adds ``weight`` of the row's class."""
-    named = weights.select(F.col("class").alias(label), "weight")
-    return df.join(named, label, "left")
+    return lookup_join(df, weights.select(F.col("class").alias(label), "weight"), [label])
 
 
 def hstack_by_id(

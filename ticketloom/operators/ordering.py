@@ -7,11 +7,17 @@ small table of bucket totals supplies the offsets.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketloom.operators.skew import is_small
+from ticketloom.session import cut_lineage
+
 BUCKETS = 64
 
 
@@ -67,7 +73,82 @@ def hashed_position(
     )
 
 
-def split_points(df: DataFrame, col: str, buckets: int = BUCKETS) -> list[float]:
+def hash_cutoffs(
+    df: DataFrame,
+    id_col: str,
+    seed: int | str,
+    strata: list[str],
+    targets: Callable[[Column], list[Column]],
+    digits: int = 3,
+) -> DataFrame:
+    """Per stratum the hash at which each of the wanted positions is reached.
+
+    ``targets`` gives the positions from the size of the stratum. Output: the strata and one column
+    ``cut_<i>`` per target, '' for position 0. Only narrow (stratum, hash) rows are read, and only the
+    one bucket of a stratum that holds a wanted position is ranked, so telling on which side of a
+    position a row lies takes no shuffle of the rows themselves.
+    """
+    narrow = df.select(*strata, F.col(id_col), hash_key(id_col, seed).alias("__hash"))
+    narrow = narrow.withColumn("__bucket", F.substring("__hash", 1, digits))
+    totals = narrow.groupBy(*strata, "__bucket").agg(F.count("*").alias("__n"))
+    # at most 16^digits rows per stratum
+    whole = Window.partitionBy(*strata)
+    before = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.select(
+        *strata,
+        "__bucket",
+        "__n",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+        F.sum("__n").over(whole).alias("__size"),
+    )
+    wanted = F.posexplode(F.array(*[t.cast("bigint") for t in targets(F.col("__size"))]))
+    exploded = placed.select("*", wanted.alias("__target", "__position"))
+    inside = F.col("__position").between(F.col("__offset") + 1, F.col("__offset") + F.col("__n"))
+    edges = exploded.where(inside).select(
+        *strata, "__bucket", "__target", (F.col("__position") - F.col("__offset")).alias("__place")
+    )
+    edges = cut_lineage(edges)
+    # one row per stratum and target
+    edges_side = F.broadcast(edges) if is_small(edges) else edges
+    joined = narrow.join(edges_side, _same(narrow, edges, [*strata, "__bucket"])).select(
+        *[narrow[s] for s in strata], narrow["__bucket"], "__hash", narrow[id_col], "__target", "__place"
+    )
+    order = Window.partitionBy(*strata, "__bucket", "__target").orderBy("__hash", id_col)
+    hits = joined.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") == F.col("__place"))
+    n_targets = len(targets(F.lit(0)))
+    cuts = [
+        F.coalesce(F.max(F.when(F.col("__target") == i, F.col("__hash"))), F.lit("")).alias(f"cut_{i}")
+        for i in range(n_targets)
+    ]
+    return hits.groupBy(*strata).agg(*cuts)
+
+
+def with_cutoffs(
+    df: DataFrame,
+    id_col: str,
+    seed: int | str,
+    strata: list[str],
+    targets: Callable[[Column], list[Column]],
+    hashed: str = "__hash",
+) -> DataFrame:
+    """``df`` with its hash and the cut-offs of its stratum; '' where no position was wanted."""
+    cutoffs = cut_lineage(hash_cutoffs(df, id_col, seed, strata, targets))
+    names = [c for c in cutoffs.columns if c.startswith("cut_")]
+    side = F.broadcast(cutoffs) if is_small(cutoffs) else cutoffs
+    joined = df.join(side, _same(df, cutoffs, strata), "left")
+    return joined.select(
+        *[df[c] for c in df.columns],
+        hash_key(df[id_col], seed).alias(hashed),
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in names],
+    )
+
+
+def bucket_count(df: DataFrame) -> int:
+    """As many buckets as the session has shuffle partitions, but not fewer than 64."""
+    return max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def split_points(df: DataFrame, col: str, buckets: int) -> list[float]:
     """At most ``buckets - 1`` values that cut a numeric column into similar parts.
 
     Evaluated once, so that every use of a bucket sees the same borders.
@@ -77,19 +158,19 @@ def split_points(df: DataFrame, col: str, buckets: int = BUCKETS) -> list[float]
     return sorted(set(numeric.approxQuantile("__v", probabilities, 1.0 / (4 * buckets))))
 
 
-def bucket_of(value: Column, points: list[float]) -> Column:
-    """Number of split points below the value."""
-    if not points:
-        return F.lit(0)
-    v = value.cast("double")
-    return reduce(lambda a, b: a + b, [(v > F.lit(p)).cast("int") for p in points])
+def with_bucket(df: DataFrame, col: str, points: list[float], out: str = "__bucket") -> DataFrame:
+    """Adds the number of the interval between split points that holds the value, by binary search."""
+    borders = [-math.inf, *points, math.inf]
+    bucketizer = Bucketizer(splits=borders, inputCol="__value", outputCol=out, handleInvalid="keep")
+    return bucketizer.transform(df.withColumn("__value", F.col(col).cast("double"))).drop("__value")
 
 
 def row_index(
-    df: DataFrame, id_col: str, index: str = "row_index", total: str | None = None, buckets: int = BUCKETS
+    df: DataFrame, id_col: str, index: str = "row_index", total: str | None = None, buckets: int | None = None
 ) -> DataFrame:
     """Adds the dense 0-based index of each row in the order of a numeric unique key."""
-    bucketed = df.withColumn("__bucket", bucket_of(F.col(id_col), split_points(df, id_col, buckets)))
+    buckets = buckets or bucket_count(df)
+    bucketed = with_bucket(df, id_col, split_points(df, id_col, buckets))
     totals = bucketed.groupBy("__bucket").agg(F.count("*").alias("__n"))
     # one row per bucket
     order = Window.partitionBy(F.lit(0)).orderBy("__bucket")

@@ -21,11 +21,11 @@ from pyspark.sql import types as T
 
 from ticketloom import constants as K
 from ticketloom.functions import vectors
+from ticketloom.operators.skew import is_small, skew_join
 from ticketloom.operators.windows import top_k, top_k_per_query
 from ticketloom.session import cut_lineage
 
 MAX_BROADCAST_QUERIES = 4096
-MAX_BROADCAST_GROUPS = 4096
 QUERY_BLOCK = 2048
 DOC_BLOCK = 16384
 PAIR_BLOCK = 1024
@@ -86,11 +86,6 @@ def _best(frames: list[pd.DataFrame], k: int) -> pd.DataFrame:
     return both[both.groupby("qid").cumcount() < k].drop(columns="key")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def _out_schema(queries: DataFrame, docs: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -123,17 +118,19 @@ def _against_broadcast(local: pd.DataFrame, docs: DataFrame, kernel, k, schema)
     return docs.mapInPandas(scan, schema)
 
 
-def _against_grid(queries, docs, kernel, schema, grouped, query_block, doc_block) -> DataFrame:
+def _against_grid(queries, docs, kernel, schema, query_block, doc_block) -> DataFrame:
     def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
         return df.groupBy("group").agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name))
 
     sizes = blocks(queries, query_block, "q_blocks").join(blocks(docs, doc_block, "d_blocks"), "group")
-    # one row when ungrouped; otherwise counted first
-    sizes = broadcast_if_small(sizes, MAX_BROADCAST_GROUPS) if grouped else F.broadcast(sizes)
+    # one row per group
+    sizes = cut_lineage(sizes)
+    small = is_small(sizes)
 
     def cells(df: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
         spread = F.pmod(F.xxhash64(id_col), F.col(f"{own}_blocks")).cast("int")
-        return df.join(sizes, "group").select(
+        joined = df.join(F.broadcast(sizes), "group") if small else skew_join(df, sizes, ["group"], "inner", [id_col])
+        return joined.select(
             id_col,
             "embedding",
             "group",
@@ -166,7 +163,7 @@ def _meet(queries, docs, kernel, k, group, max_broadcast, query_block, doc_block
     local = q.limit(max_broadcast + 1).toPandas() if max_broadcast else None
     if local is not None and len(local) <= max_broadcast:
         return _against_broadcast(local, d, kernel, k, schema)
-    return _against_grid(q, d, kernel, schema, bool(group), query_block, doc_block)
+    return _against_grid(q, d, kernel, schema, query_block, doc_block)
 
 
 def _scored(hits: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions import text
 from ticketloom.functions.vectors import cosine_distance
-from ticketloom.operators.ordering import hash_fraction, hash_key, hashed_position, row_index
+from ticketloom.operators.ordering import hash_fraction, hash_key, hashed_position, row_index, with_cutoffs
 
 
 def sort_desc_limit(df: DataFrame, by: str, n: int, tie: str) -> DataFrame:
@@ -57,15 +57,15 @@ def stratified_split(
     id_col: str = "id",
 ) -> DataFrame:
     """Adds ``split``: a ``test`` share of each stratum, then a ``val`` share of its rest, then train."""
-    placed = stratified_position(df, strata, seed, id_col)
-    n_test = F.round(F.col("stratum_size") * F.lit(test))
-    n_val = F.round((F.col("stratum_size") - n_test) * F.lit(val))
-    split = (
-        F.when(F.col("position") <= n_test, "test")
-        .when(F.col("position") <= n_test + n_val, "val")
-        .otherwise("train")
-    )
-    return placed.withColumn("split", split).drop("position", "stratum_size")
+
+    def ends(size: Column) -> list[Column]:
+        n_test = F.round(size * F.lit(test))
+        return [n_test, n_test + F.round((size - n_test) * F.lit(val))]
+
+    placed = with_cutoffs(df, id_col, seed, strata, ends)
+    h = F.col("__hash")
+    split = F.when(h <= F.col("cut_0"), "test").when(h <= F.col("cut_1"), "val").otherwise("train")
+    return placed.withColumn("split", split).drop("__hash", "cut_0", "cut_1")
 
 
 def random_split(df: DataFrame, test: float = 0.2, seed: int | str = 42, id_col: str = "id") -> DataFrame:
@@ -86,10 +86,15 @@ def stratified_sample(
     df: DataFrame, strata: list[str], n: int, seed: int | str = 42, id_col: str = "id"
 ) -> DataFrame:
     """About ``n`` rows, each stratum by its share and at least once; all rows if there are no more."""
-    placed = stratified_position(df, strata, seed, id_col)
-    total = df.agg(F.count("*")).scalar()
-    quota = F.greatest(F.lit(1), F.floor(F.col("stratum_size") * F.lit(float(n)) / total))
-    return placed.where((total <= n) | (F.col("position") <= quota)).drop("position", "stratum_size")
+    total = df.count()
+    if total <= n:
+        return df
+
+    def quota(size: Column) -> list[Column]:
+        return [F.greatest(F.lit(1), F.floor(size * F.lit(float(n)) / F.lit(total)))]
+
+    placed = with_cutoffs(df, id_col, seed, strata, quota)
+    return placed.where(F.col("__hash") <= F.col("cut_0")).drop("__hash", "cut_0")
 
 
 def halves(df: DataFrame, fraction: float, id_col: str = "id") -> DataFrame:

@@ -1,4 +1,9 @@
-"""Equi-join for a side where a few keys hold most of the rows."""
+"""Joins that hold up when one key has a large part of the rows.
+
+``lookup_join`` attaches a table with one row per key: broadcast when a count shows it is small, by a
+salted shuffle join otherwise. AQE's own skew handling does not reach these joins, because the lookup
+side usually is an aggregate on the same key and then has no shuffle of its own to split.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.session import cut_lineage
+
 MAX_SHARE = 1 / 256
 SALTS = 64
+MAX_BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def hot_keys(df: DataFrame, keys: list[str], max_share: float = MAX_SHARE) -> DataFrame:
@@ -27,7 +40,7 @@ def skew_join(
     salts: int = SALTS,
     max_share: float = MAX_SHARE,
 ) -> DataFrame:
-    """Join where ``left`` may be skewed on ``keys``; ``how`` is 'inner' or 'left'.
+    """Join where ``left`` may be skewed on ``keys``; ``how`` is 'inner', 'left' or 'left_semi'.
 
     Only rows of hot keys get a salt, taken from ``spread_by`` (columns that differ between copies) so
     that a retried task draws the same one. The matching rows of ``right`` are repeated per salt.
@@ -50,3 +63,22 @@ def skew_join(
         .drop("__hot")
     )
     return salted_left.join(salted_right, [*keys, "__salt"], how).drop("__salt")
+
+
+def lookup_join(
+    left: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    spread_by: list[str] | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Attach ``table``, which has one row per key, to every row of ``left``.
+
+    The table is evaluated once and counted. Up to ``max_rows`` narrow rows are broadcast, and ``left``
+    is not shuffled at all; more go through ``skew_join``.
+    """
+    stored = cut_lineage(table)
+    if is_small(stored, max_rows):
+        return left.join(F.broadcast(stored), keys, how)
+    return skew_join(left, stored, keys, how, spread_by)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ticketloom import constants as K
 from ticketloom.functions import text
 from ticketloom.operators.feedback import insert_ignore
-from ticketloom.operators.joins import CACHE_KEYS, cache_lookup, cache_misses
+from ticketloom.operators.joins import CACHE_KEYS, cache_lookup, cache_misses, text_keys
 from ticketloom.operators.skew import skew_join
 from ticketloom.session import cut_lineage
 
@@ -38,13 +38,17 @@ def with_terms(df: DataFrame, col: str = "text", out: str = "terms") -> DataFram
     return df.withColumn("__words", words).withColumn(out, F.concat("__words", pairs)).drop("__words")
 
 
-def term_statistics(df: DataFrame, terms: str = "terms", id_col: str = "id") -> DataFrame:
+def term_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
     """(term, count, doc_count) over the whole table; combined per task before the shuffle."""
-    distinct = df.select(F.explode(F.array_distinct(terms)).alias("term"), F.lit(1).alias("docs"), F.lit(0).alias("n"))
-    repeats = df.select(F.explode(terms).alias("term"), F.lit(0).alias("docs"), F.lit(1).alias("n"))
-    return distinct.unionByName(repeats).groupBy("term").agg(
-        F.sum("n").alias("count"), F.sum("docs").alias("doc_count")
-    )
+
+    def rows(source, docs: int, n: int):
+        return F.transform(
+            source, lambda t: F.struct(t.alias("term"), F.lit(docs).alias("docs"), F.lit(n).alias("n"))
+        )
+
+    both = F.concat(rows(F.array_distinct(terms), 1, 0), rows(F.col(terms), 0, 1))
+    exploded = df.select(F.inline(both))
+    return exploded.groupBy("term").agg(F.sum("n").alias("count"), F.sum("docs").alias("doc_count"))
 
 
 def vocabulary(df: DataFrame, size: int = K.VOCABULARY_SIZE, terms: str = "terms") -> DataFrame:
@@ -137,6 +141,7 @@ def incremental_embeddings(
     written to the shared folder once, so they are encoded once however often the results are read.
     """
     model = encoder.name
+    keys = text_keys(texts, model, col, id_col)
     new = cut_lineage(embed_texts(cache_misses(texts, cache, model, col), encoder, "text"))
     additions = new.select(
         "text_hash",
@@ -146,7 +151,7 @@ def incremental_embeddings(
         F.lit(now).cast("timestamp_ntz").alias("created_at"),
     )
     additions = insert_ignore(additions, cache.where(F.col("embedding").isNotNull()), CACHE_KEYS, ["text_content"])
-    known = cache_lookup(texts.select(id_col, col), cache, model, col, id_col).drop(col)
+    known = cache_lookup(keys, cache, id_col)
     fresh = new.select("text_hash", F.col("embedding").alias("__new"))
     both = skew_join(known, fresh, ["text_hash"], "left", spread_by=[id_col])
     rows = both.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _TEST_DIRS: dict[str, str] = {}
 
@@ -58,7 +58,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint of ``df`` in the shared folder: computed once, survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written once as a Parquet table in the shared folder and read back.
+
+    Later steps see its true size and read only the columns they need, and a lost executor costs
+    nothing that was computed before.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
