@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ticketloom import constants as K
 from ticketloom.functions.text import text_hash
 from ticketloom.plans.enrich import enrich
+from ticketloom.sources.tables import spread
 
 # Keywords that occur in the test prose, and fragments that occur in the test log.
 TEST_KEYWORDS = {
@@ -37,7 +38,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf: str) -> DataFrame:
-    return tickets_from_documents(table(spark, sf, "documents"))
+    return tickets_from_documents(spread(table(spark, sf, "documents"), "doc_id"))
 
 
 def tickets_from_documents(d: DataFrame) -> DataFrame:

@@ -19,12 +19,13 @@ from ticketloom.operators import (
 )
 from ticketloom.plans.enrich import training_table
 from ticketloom.session import cut_lineage, scratch_path
+from ticketloom.sources.tables import spread
 
 ENCODER = textvec.HashEncoder(64)
 
 
 def _texts(spark, sf):
-    return S.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread(S.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
 
 
 # --- language, text vectors ---------------------------------------------------------------------
@@ -33,9 +34,9 @@ def _texts(spark, sf):
 @query("detect_language", "M3")
 def detect_language(spark, sf):
     """Every document scored by a model trained on all of them: agreement per language."""
-    d = S.table(spark, sf, "documents")
-    model = language.fit_language(d.select("text", "lang"))
-    found = language.detect_language(d.select("doc_id", "text", "lang"), model)
+    d = spread(S.table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    model = language.fit_language(d)
+    found = language.detect_language(d, model)
     right = (F.col("detected_lang") == F.col("lang")).cast("double")
     return found.groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg(right), 4).alias("agreement"))
 

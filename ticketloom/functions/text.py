@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 from ticketloom import constants as K
 
 # Whitespace as Unicode text defines it, written out because Java's \s covers ASCII only.
-WHITESPACE = r"[\s\x1c-\x1f\x0b\x85\p{Z}]+"
+SPACE = r"\s\x1c-\x1f\x0b\x85\p{Z}"
+# A run of whitespace other than one plain blank, so that ordinary text needs no replacement.
+WHITESPACE = rf"(?: (?=[{SPACE}])|[{SPACE}&&[^ ]])[{SPACE}]*"
 # (?d): only a newline ends the reach of ".".
 TAG = r"(?d)<.*?>"
-PHONE = r"(?U)\d{3}-\d{3}-\d{4}"
+PHONE = r"\p{Nd}{3}-\p{Nd}{3}-\p{Nd}{4}"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
 def clean_text(c: Column) -> Column:
     """Plain text: tags dropped, whitespace collapsed and trimmed, phone numbers masked; NULL gives ''."""
-    untagged = F.regexp_replace(F.coalesce(c, F.lit("")), TAG, "")
+    present = F.coalesce(c, F.lit(""))
+    untagged = F.when(F.contains(present, F.lit("<")), F.regexp_replace(present, TAG, "")).otherwise(present)
     collapsed = F.trim(F.regexp_replace(untagged, WHITESPACE, " "))
-    return F.regexp_replace(collapsed, PHONE, K.PHONE_MASK)
+    masked = F.regexp_replace(collapsed, PHONE, K.PHONE_MASK)
+    # texts without a dash skip the search
+    return F.when(F.contains(collapsed, F.lit("-")), masked).otherwise(collapsed)
 
 
 def text_length(c: Column) -> Column:

@@ -2,46 +2,60 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IndexToString, NGram, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions import text
 
+DIM = 1024
 
-def _with_characters(df: DataFrame, col: str) -> DataFrame:
-    letters = F.regexp_replace(F.lower(F.coalesce(F.col(col), F.lit(""))), r"[^\p{L}]+", "_")
-    return df.withColumn("__chars", F.split(letters, ""))
-
-
-def fit_language(labelled: DataFrame, col: str = "text", label: str = "lang", buckets: int = 4096) -> PipelineModel:
-    """Naive Bayes over hashed single characters, pairs and triples."""
-    prepared = _with_characters(labelled.where(F.col(label).isNotNull()), col)
-    indexer = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc").fit(prepared)
-    stages = [indexer]
-    parts = []
-    for n in (1, 2, 3):
-        grams, hashed = f"__grams{n}", f"__tf{n}"
-        stages += [
-            NGram(n=n, inputCol="__chars", outputCol=grams),
-            HashingTF(inputCol=grams, outputCol=hashed, numFeatures=buckets),
-        ]
-        parts.append(hashed)
-    stages += [
-        VectorAssembler(inputCols=parts, outputCol="__features"),
-        NaiveBayes(featuresCol="__features", labelCol="__label", predictionCol="__lang_index",
-                   rawPredictionCol="__lang_raw", probabilityCol="__lang_prob"),
-        IndexToString(inputCol="__lang_index", outputCol="__lang", labels=indexer.labels),
-    ]
-    fitted = Pipeline(stages=stages).fit(prepared)
-    # scoring has no label column
-    return PipelineModel(fitted.stages[1:])
+
+def _letters(col: str):
+    """Lower-case letters of the whole text, everything between them as one blank."""
+    return F.regexp_replace(F.lower(F.coalesce(F.col(col), F.lit(""))), r"[^\p{L}]+", " ")
+
+
+def with_ngrams(df: DataFrame, col: str, dim: int = DIM, out: str = "__features") -> DataFrame:
+    """Adds the counts of single characters, pairs and triples, hashed into ``dim`` places.
+
+    Counting characters needs no strings per n-gram: a batch is a few array operations per text.
+    """
+
+    @F.pandas_udf("array<float>")
+    def counts(texts: pd.Series) -> pd.Series:
+        def one(t: str) -> np.ndarray:
+            c = np.frombuffer(t.encode("utf-32-le"), dtype="<u4").astype("int64")
+            pairs = c[:-1] * 31 + c[1:] + 7919
+            triples = pairs[:-1] * 31 + c[2:] + 104729
+            keys = np.concatenate([c, pairs, triples]) % dim
+            return np.bincount(keys, minlength=dim).astype("float32")
+
+        return texts.map(one)
+
+    return df.withColumn(out, array_to_vector(counts(_letters(col))))
+
+
+def fit_language(labelled: DataFrame, col: str = "text", label: str = "lang", dim: int = DIM) -> PipelineModel:
+    """Naive Bayes over hashed character n-grams."""
+    known = labelled.where(F.col(label).isNotNull())
+    indexer = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc").fit(known)
+    bayes = NaiveBayes(
+        featuresCol="__features", labelCol="__label", predictionCol="__lang_index",
+        rawPredictionCol="__lang_raw", probabilityCol="__lang_prob",
+    )
+    decode = IndexToString(inputCol="__lang_index", outputCol="__lang", labels=indexer.labels)
+    prepared = with_ngrams(indexer.transform(known).select("__label", col), col, dim)
+    return Pipeline(stages=[bayes, decode]).fit(prepared)
 
 
 def detect_language(df: DataFrame, model: PipelineModel, col: str = "text") -> DataFrame:
     """Adds ``detected_lang``; texts under 20 characters are 'unknown'."""
     kept = [F.col(c) for c in df.columns]
-    scored = model.transform(_with_characters(df, col))
+    scored = model.transform(with_ngrams(df, col, model.stages[0].numFeatures))
     return scored.select(*kept, F.coalesce(text.lang_guard(F.col(col)), F.col("__lang")).alias("detected_lang"))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -279,17 +280,17 @@ class AnnIndex:
 
 
 def _unit_vector(df: DataFrame) -> DataFrame:
-    length = vectors.norm(F.col("embedding"))
-    unit = F.transform("embedding", lambda x: x.cast("double") / length)
-    return df.where(F.col("embedding").isNotNull() & (length > 0)).withColumn("__unit", array_to_vector(unit))
+    present = df.where(F.col("embedding").isNotNull() & (vectors.norm(F.col("embedding")) > 0))
+    dense = present.withColumn("__vector", array_to_vector("embedding"))
+    return Normalizer(p=2.0, inputCol="__vector", outputCol="__unit").transform(dense).drop("__vector")
 
 
 def ann_index(docs: DataFrame, lists: int = 100, seed: int = 42, iterations: int = 20) -> AnnIndex:
-    """Inverted lists by k-means on the unit sphere."""
+    """Inverted lists by k-means on the unit sphere; the assigned documents are stored once."""
     prepared = _unit_vector(docs)
     kmeans = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="__unit", predictionCol="list_id")
-    model = kmeans.fit(prepared)
-    return AnnIndex(model.transform(prepared).drop("__unit"), np.array(model.clusterCenters()))
+    model = kmeans.fit(prepared.select("__unit"))
+    return AnnIndex(cut_lineage(model.transform(prepared).drop("__unit")), np.array(model.clusterCenters()))
 
 
 def ann_retrieve(queries: DataFrame, index: AnnIndex, k: int = K.TOP_K, nprobe: int = 10, **kw) -> DataFrame:

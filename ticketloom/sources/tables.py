@@ -18,6 +18,18 @@ def read_tickets(spark: SparkSession, path: str, schema: str | None = schemas.RA
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """Rows hashed over all cores if the source has fewer splits than that; else ``df`` as it is.
+
+    For work that is heavy per row on small files. Large inputs have more splits than cores and are not
+    shuffled.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_dataset(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
