@@ -409,8 +409,9 @@ def monitor_and_retrain(spark, sf):
     encoder = textvec.HashEncoder(64)
     log = feedback.apply_feedback(S.prediction_log(spark, sf), S.feedback(spark, sf))
     params = monitor.LoopParams(
-        reference_rows=None, current_rows=None, trials=1, folds=2, keywords=S.TEST_KEYWORDS, fragments=S.TEST_FRAGMENTS
-    )
+        reference_rows=None, current_rows=None, trials=2, folds=2, keywords=S.TEST_KEYWORDS, fragments=S.TEST_FRAGMENTS,
+        space={"max_depth": ("choice", [4, 5, 6]), "n_estimators": ("choice", [5, 10])},
+    )
     cache = S.embedding_cache(spark, sf).where(F.col("model_name") == "none")
     record = monitor.monitor_and_retrain(
         S.enriched(spark, sf), log, cache, encoder, S.NOW, "2024-01-01 00:00:00",

@@ -63,19 +63,25 @@ def column_drift(
         F.sum("n_ref").alias("size_ref"),
         F.sum("n_cur").alias("size_cur"),
         F.count_if(F.col("n_ref") > 0).alias("distinct_ref"),
-        (F.sum(F.col("n_ref") * F.col("value")) / F.sum("n_ref")).alias("mean_ref"),
+        F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("mean_ref"),
     )
     # one row per compared column
     placed = running_sums(counts, "column", "value", ["n_ref", "n_cur"]).join(F.broadcast(totals), "column")
-    p, q = F.col("n_ref") / F.col("size_ref"), F.col("n_cur") / F.col("size_cur")
-    gap = F.abs(F.col("cum_n_ref") / F.col("size_ref") - F.col("cum_n_cur") / F.col("size_cur"))
+
+    def share(measure: str) -> Column:
+        """NULL where the side has no rows at all, which makes the score NULL."""
+        return F.try_divide(F.col(measure), F.col(f"size_{measure[-3:]}"))
+
+    p, q = share("n_ref"), share("n_cur")
+    gap = F.abs(share("cum_n_ref") - share("cum_n_cur"))
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    spread = F.sum(F.col("n_ref") * (F.col("value") - F.col("mean_ref")) ** 2) / F.first("size_ref")
+    spread = F.try_divide(F.sum(F.col("n_ref") * (F.col("value") - F.col("mean_ref")) ** 2), F.first("size_ref"))
+    p_and_q = (F.first("size_ref") > 0) & (F.first("size_cur") > 0)
     scores = placed.groupBy("column").agg(
         F.first("distinct_ref").alias("distinct_ref"),
         F.sum(gap * width).alias("area"),
         F.sqrt(spread).alias("std_ref"),
-        F.sqrt(F.greatest(F.sum(_divergence(p, q)), F.lit(0.0))).alias("divergence"),
+        F.when(p_and_q, F.sqrt(F.greatest(F.sum(_divergence(p, q)), F.lit(0.0)))).alias("divergence"),
     )
     numeric = F.col("distinct_ref") > NUMERIC_DISTINCT
     score = F.when(numeric, F.col("area") / F.greatest("std_ref", F.lit(MIN_STD))).otherwise(F.col("divergence"))
@@ -84,7 +90,7 @@ def column_drift(
         F.when(numeric, "wasserstein").otherwise("jensen-shannon").alias("method"),
         score.alias("score"),
         F.lit(threshold).alias("threshold"),
-        (score >= threshold).alias("drifted"),
+        F.coalesce(score >= threshold, F.lit(False)).alias("drifted"),
     )
 
 

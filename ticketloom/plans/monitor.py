@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ class LoopParams:
     retrain_share: float = K.RETRAIN_SHARE
     tuning_rows: int = 3000
     trials: int = 10
+    space: dict = field(default_factory=lambda: models.SEARCH_SPACE)
     folds: int = 3
     kind: str = "forest"
     test: float = 0.15
@@ -81,14 +83,15 @@ def embedded_features(data: DataFrame, cache: DataFrame, encoder, now) -> tuple[
 
 def retrain(features: DataFrame, params: LoopParams, run_id: str, dataset: str) -> tuple[DataFrame, dict]:
     """Search, train, evaluate and gate both classifiers: the run record and the models by target."""
-    usable = aggregates.drop_rare_classes(features, "refined_queue")
+    usable = aggregates.drop_rare_classes(cut_lineage(features), "refined_queue")
     data = cut_lineage(sampling.stratified_split(usable, ["refined_queue"], params.test, 0.0, params.seed))
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     tuning = sampling.stratified_sample(train, ["refined_queue", "urgency_level"], params.tuning_rows, params.seed)
     tuning = cut_lineage(tuning)
     fitted, scores, chosen = {}, {}, {}
+    sets = models.draw_params(params.trials, params.seed, params.space)
     for target, balanced in (("refined_queue", False), ("urgency_level", True)):
-        trials = models.random_search(tuning, target, params.trials, params.folds, params.kind, balanced, params.seed)
+        trials = models.random_search(tuning, target, sets, params.folds, params.kind, balanced, params.seed)
         best = aggregates.best_run(trials, "score", ["params"]).first()["params"]
         fitted[target] = models.train_classifier(train, target, params.kind, balanced, **best)
         report = models.evaluate(fitted[target], test.where(F.col(target).isNotNull()), target)
@@ -106,10 +109,27 @@ def retrain(features: DataFrame, params: LoopParams, run_id: str, dataset: str)
     return record, fitted
 
 
+def base_and_since(enriched: DataFrame, root: str, since) -> tuple[DataFrame, str]:
+    """What to add corrections to, and from when: the newest snapshot, or the enriched table."""
+    spark = enriched.sparkSession
+    try:
+        newest = snapshots.latest_snapshot(spark, root).first()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return enriched, since
+    return snapshots.read_latest_snapshot(spark, root).drop("snapshot"), str(newest["snapshot_at"])
+
+
 def monitor_and_retrain(
-    enriched: DataFrame, log: DataFrame, cache: DataFrame, encoder, now, since, root: str, stamp: str, params: LoopParams
-) -> DataFrame:
-    """One pass of the loop; the record says 'stable' or 'skip' when nothing had to be trained."""
+    enriched: DataFrame, log: DataFrame, cache: DataFrame, encoder, now, since, root: str, stamp: str,
+    params: LoopParams, model_root: str | None = None,
+) -> DataFrame:
+    """One pass of the loop; the record says 'stable' or 'skip' when nothing had to be trained.
+
+    ``root`` holds the dataset snapshots; ``since`` counts only while there is none. Models that pass
+    the gate are saved below ``model_root``.
+    """
     result = cut_lineage(check_drift(enriched, log, now, params))
     decision = result.first()["decision"]
     if decision != "retrain":
@@ -122,7 +142,12 @@ def monitor_and_retrain(
             F.col("decision").alias("status"),
             F.lit("no retraining").alias("reason"),
         )
-    data = training_data(enriched, log, since, root, stamp, params)
+    base, since = base_and_since(enriched, root, since)
+    data = training_data(base, log, since, root, stamp, params)
     features, _ = embedded_features(data, cache, encoder, now)
-    record, _ = retrain(features, params, stamp, f"snapshot={stamp}")
+    record, fitted = retrain(features, params, stamp, f"snapshot={stamp}")
+    record = cut_lineage(record)
+    if model_root and record.first()["status"] == "success":
+        for target, model in fitted.items():
+            models.save_model(model, f"{model_root}/{target}/{stamp}")
     return record

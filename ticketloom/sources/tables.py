@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def append_log(df: DataFrame, path: str, batch: str, id_col: str = "id") -> Data
     spark = df.sparkSession
     try:
         last = spark.read.parquet(path).agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
-    except Exception as error:  # the first batch has no log yet
+    except AnalysisException as error:  # the first batch has no log yet
         if "PATH_NOT_FOUND" not in str(error):
             raise
         last = 0
