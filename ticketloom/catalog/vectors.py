@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -94,6 +95,23 @@ def embed_texts(spark, sf):
     return found.select("id", F.size("embedding").alias("width"), length.alias("length"))
 
 
+@query(
+    "embed_texts_in_batches",
+    "M5 F4",
+    """SELECT doc_id AS id, CAST(length(text) AS DOUBLE) AS n_chars,
+       CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS n_e FROM documents""",
+)
+def embed_texts_in_batches(spark, sf):
+    """A user's encoder, loaded once per task and called with batches of 64 texts."""
+
+    def load():
+        return lambda texts: np.array([[len(t), t.count("e")] for t in texts], dtype="float32")
+
+    found = textvec.embed_texts(_texts(spark, sf), textvec.BatchEncoder(load, "letters"))
+    v = F.col("embedding")
+    return found.select("id", v[0].cast("double").alias("n_chars"), v[1].cast("double").alias("n_e"))
+
+
 @query(
     "incremental_embeddings",
     "M6",
