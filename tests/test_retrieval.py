@@ -59,6 +59,17 @@ def test_pairs(data, kw):
     assert sorted((r.qid, r.doc_id) for r in retrieval.query_doc_pairs(queries, docs, 0.4, **kw).collect()) == want
 
 
+def test_few_documents_are_broadcast(data):
+    q, d, _, queries, docs = data
+    few = docs.where("doc_id < 30")
+    hits = retrieval.retrieve(queries, few, 5, max_broadcast=35)
+    assert ranks(hits) == brute(q, d[:30], 5)
+    assert "FlatMapCoGroupsInPandas" not in hits._jdf.queryExecution().executedPlan().toString()
+    pairs = retrieval.query_doc_pairs(queries, few, 0.8, max_broadcast=35)
+    other = retrieval.query_doc_pairs(queries, few, 0.8)
+    assert sorted(map(tuple, pairs.select("qid", "doc_id").collect())) == sorted(map(tuple, other.select("qid", "doc_id").collect()))
+
+
 def test_few_documents_and_missing_vectors(spark, data):
     _, _, _, queries, docs = data
     few = docs.where("doc_id < 3")

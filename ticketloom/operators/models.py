@@ -172,7 +172,7 @@ def _grid(fit, kind: str, weighted: bool, sets: list[dict]) -> list[dict]:
 
 def random_search(
     df: DataFrame, target: str, sets: list[dict] | int, k: int = 3, kind: str = "forest",
-    balanced: bool = False, seed: int = 42, id_col: str = "id", parallelism: int = 2,
+    balanced: bool = False, seed: int = 42, id_col: str = "id", parallelism: int = 4,
 ) -> DataFrame:
     """(run_id, params, score) for each parameter set, scored by k-fold weighted F1."""
     if isinstance(sets, int):

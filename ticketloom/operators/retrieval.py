@@ -1,9 +1,9 @@
 """Exact and approximate nearest-neighbour retrieval for a table of queries.
 
 Queries and documents meet block by block: a task multiplies one block of query vectors with one
-block of document vectors and emits only the rows asked for, so pairs are never materialised. A
-query table below a row bound is broadcast and the documents stay where they are; above it both
-sides are hashed into a grid of blocks, sized per group from counted rows.
+block of document vectors and emits only the rows asked for, so pairs are never materialised. The
+side below a row bound is broadcast and the other one stays where it is; if neither is, both are
+hashed into a grid of blocks, sized per group from counted rows.
 """
 
 from __future__ import annotations
@@ -16,21 +16,23 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom import constants as K
 from ticketloom.functions import vectors
+from ticketloom.operators.ordering import hash_fraction
 from ticketloom.operators.skew import is_small, skew_join
 from ticketloom.operators.windows import top_k, top_k_per_query
 from ticketloom.session import cut_lineage
 
-MAX_BROADCAST_QUERIES = 4096
-QUERY_BLOCK = 2048
-DOC_BLOCK = 16384
+MAX_BROADCAST = 4096
+QUERY_BLOCK = 16384
+DOC_BLOCK = 65536
 PAIR_BLOCK = 1024
-CHUNK = 256
+CHUNK = 64
+TASKS_PER_CORE = 4
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -97,9 +99,33 @@ def _out_schema(queries: DataFrame, docs: DataFrame) -> T.StructType:
     )
 
 
-def _against_broadcast(local: pd.DataFrame, docs: DataFrame, kernel, k, schema) -> DataFrame:
-    blocks = {g: (part["qid"].to_numpy(), _matrix(part["embedding"])) for g, part in local.groupby("group")}
-    shared = docs.sparkSession.sparkContext.broadcast(blocks)
+def _shared_blocks(local: pd.DataFrame, id_col: str, spark: SparkSession):
+    blocks = {g: (part[id_col].to_numpy(), _matrix(part["embedding"])) for g, part in local.groupby("group")}
+    return spark.sparkContext.broadcast(blocks)
+
+
+def _with_broadcast_docs(queries: DataFrame, local: pd.DataFrame, kernel, schema) -> DataFrame:
+    """Few documents: every batch of queries meets all of them, so its hits are final."""
+    shared = _shared_blocks(local, "doc_id", queries.sparkSession)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for g, part in batch.groupby("group"):
+                if g in shared.value:
+                    yield from kernel(part["qid"].to_numpy(), _matrix(part["embedding"]), *shared.value[g])
+
+    return queries.mapInPandas(scan, schema)
+
+
+def _with_broadcast_queries(docs: DataFrame, local: pd.DataFrame, kernel, k, schema) -> DataFrame:
+    """Few queries: a task keeps the running best of the documents it reads.
+
+    Each task emits up to k rows per query, so very many small splits are joined into longer tasks.
+    """
+    shared = _shared_blocks(local, "qid", docs.sparkSession)
+    tasks = TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism
+    if k is not None:
+        docs = docs.coalesce(tasks)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
@@ -119,7 +145,7 @@ def _against_broadcast(local: pd.DataFrame, docs: DataFrame, kernel, k, schema)
     return docs.mapInPandas(scan, schema)
 
 
-def _against_grid(queries, docs, kernel, schema, query_block, doc_block) -> DataFrame:
+def _with_grid(queries, docs, kernel, schema, query_block, doc_block) -> DataFrame:
     def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
         return df.groupBy("group").agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name))
 
@@ -160,11 +186,15 @@ def _meet(queries, docs, kernel, k, group, max_broadcast, query_block, doc_block
     if group:
         q, d = q.where(F.col("group").isNotNull()), d.where(F.col("group").isNotNull())
     schema = _out_schema(queries, docs)
-    # bounded: at most max_broadcast + 1 query vectors reach the driver
-    local = q.limit(max_broadcast + 1).toPandas() if max_broadcast else None
-    if local is not None and len(local) <= max_broadcast:
-        return _against_broadcast(local, d, kernel, k, schema)
-    return _against_grid(q, d, kernel, schema, query_block, doc_block)
+    if max_broadcast:
+        # bounded: at most max_broadcast + 1 vectors of a side reach the driver
+        local = q.limit(max_broadcast + 1).toPandas()
+        if len(local) <= max_broadcast:
+            return _with_broadcast_queries(d, local, kernel, k, schema)
+        local = d.limit(max_broadcast + 1).toPandas()
+        if len(local) <= max_broadcast:
+            return _with_broadcast_docs(q, local, kernel, schema)
+    return _with_grid(q, d, kernel, schema, query_block, doc_block)
 
 
 def _scored(hits: DataFrame) -> DataFrame:
@@ -178,7 +208,7 @@ def retrieve(
     docs: DataFrame,
     k: int = K.TOP_K,
     group: str | None = None,
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    max_broadcast: int = MAX_BROADCAST,
     query_block: int = QUERY_BLOCK,
     doc_block: int = DOC_BLOCK,
 ) -> DataFrame:
@@ -200,7 +230,7 @@ def query_doc_pairs(
     docs: DataFrame,
     max_distance: float,
     group: str | None = None,
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    max_broadcast: int = MAX_BROADCAST,
     block: int = PAIR_BLOCK,
 ) -> DataFrame:
     """Every (qid, doc_id, distance) at most ``max_distance`` apart; nothing else leaves a task."""
@@ -285,11 +315,17 @@ def _unit_vector(df: DataFrame) -> DataFrame:
     return Normalizer(p=2.0, inputCol="__vector", outputCol="__unit").transform(dense).drop("__vector")
 
 
-def ann_index(docs: DataFrame, lists: int = 100, seed: int = 42, iterations: int = 20) -> AnnIndex:
-    """Inverted lists by k-means on the unit sphere; the assigned documents are stored once."""
+def ann_index(
+    docs: DataFrame, lists: int = 100, seed: int = 42, iterations: int = 20, train_share: float = 1.0
+) -> AnnIndex:
+    """Inverted lists by k-means on the unit sphere; the assigned documents are stored once.
+
+    Centres may be learnt from a ``train_share`` of the documents; all documents are indexed.
+    """
     prepared = _unit_vector(docs)
+    sample = prepared if train_share >= 1.0 else prepared.where(hash_fraction("doc_id", seed) < train_share)
     kmeans = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="__unit", predictionCol="list_id")
-    model = kmeans.fit(prepared.select("__unit"))
+    model = kmeans.fit(sample.select("__unit"))
     return AnnIndex(cut_lineage(model.transform(prepared).drop("__unit")), np.array(model.clusterCenters()))
 
 
