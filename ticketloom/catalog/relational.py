@@ -17,6 +17,7 @@ from ticketloom.operators import (
     sampling,
     windows,
 )
+from ticketloom.session import cut_lineage
 
 # --- joins --------------------------------------------------------------------------------------
 
@@ -465,8 +466,9 @@ def stratified_sample(spark, sf):
     + "SELECT id, refined_queue FROM enriched WHERE refined_queue = 'Network / Infrastructure' ORDER BY id LIMIT 5",
 )
 def first_matches(spark, sf):
-    found = sampling.first_matches(S.enriched(spark, sf), F.col("refined_queue") == K.NETWORK_QUEUE, 5)
-    return found.select("id", "refined_queue")
+    # stored first: a filter on the class would be pushed below the patterns that derive it and repeat them
+    stored = cut_lineage(S.enriched(spark, sf).select("id", "refined_queue"))
+    return sampling.first_matches(stored, F.col("refined_queue") == K.NETWORK_QUEUE, 5)
 
 
 # --- set operations -----------------------------------------------------------------------------
