@@ -263,7 +263,7 @@ def _run(df, label):
 )
 def stream_enrich(spark, sf):
     arriving = S.tickets_from_documents(jobs.read_file_stream(spark, sf, DOCUMENTS, "documents.parquet"))
-    done = _run(jobs.stream_enrich(arriving, S.TEST_KEYWORDS), "stream-enrich")
+    done = _run(jobs.stream_enrich(arriving, S.TEST_KEYWORDS, "id"), "stream-enrich")
     return done.select("id", "refined_queue", "urgency_level", "body_length", "has_network", "has_software")
 
 

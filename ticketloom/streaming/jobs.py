@@ -48,8 +48,15 @@ def event_time(df: DataFrame, col: str = "created_at") -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp"))
 
 
-def stream_enrich(tickets: DataFrame, keywords: dict[str, list[str]] = K.KEYWORDS) -> DataFrame:
-    """Ticket features, stateless: the batch chain works on a stream as it is."""
+def stream_enrich(
+    tickets: DataFrame, keywords: dict[str, list[str]] = K.KEYWORDS, spread_by: str | None = None
+) -> DataFrame:
+    """Ticket features, stateless: the batch chain works on a stream as it is.
+
+    ``spread_by`` hashes each micro-batch over all cores first, for batches of few files.
+    """
+    if spread_by:
+        tickets = tickets.repartition(tickets.sparkSession.sparkContext.defaultParallelism, spread_by)
     return enrich(tickets, keywords)
 
 
