@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ticketloom.session import cut_lineage
 
 ROWS_PER_BUCKET = 20_000
+LEAST_BUCKETS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,33 +31,40 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def buckets_for(rows: int, per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, -(-rows // per_bucket))
+def buckets_for(rows: int, per_bucket: int = ROWS_PER_BUCKET, least: int = 1) -> int:
+    return max(least, -(-rows // per_bucket))
 
 
-def numbered(df: DataFrame, by: list[str], order: list[str], name: str, per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Dense numbers from 0 within each value of ``by``, in the order of a hash of ``order``.
+def running_total(df: DataFrame, by: list[str], amount: str, order: list[str], name: str) -> DataFrame:
+    """Adds the sum of ``amount`` over this row and those before it, in the order of a hash of ``order``.
 
-    ``order`` must tell rows apart. Rows are dealt into hash buckets of about ``per_bucket`` rows, numbered
-    inside each, and shifted by the counts of the buckets before: no task holds a whole group, and the
-    table of counts has one row per group and bucket. The shift is an equi-join on (by, bucket).
+    As in ``numbered``, only buckets and a table of their totals pass through single tasks.
     """
-    mark = F.xxhash64(*order)
-    n = buckets_for(df.count(), per_bucket)
-    dealt = df.withColumn("__mark", mark).withColumn("__bucket", F.pmod("__mark", F.lit(n)).cast("int"))
+    n = buckets_for(df.count(), least=LEAST_BUCKETS)
+    dealt = df.withColumn("__mark", F.xxhash64(*order)).withColumn("__bucket", F.pmod("__mark", F.lit(n)).cast("int"))
     keys = [*by, "__bucket"]
-    counts = dealt.groupBy(*keys).agg(F.count("*").alias("__n"))
+    totals = dealt.groupBy(*keys).agg(F.sum(amount).alias("__n"))
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("__mark", *order)) - 1
-    placed = dealt.withColumn("__place", place)
+    shift = totals.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    upto = Window.partitionBy(*keys).orderBy("__mark", *order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.join(shift, keys)
-        .withColumn(name, (F.col("__place") + F.col("__before")).cast("long"))
-        .drop("__mark", "__bucket", "__place", "__before")
+        dealt.withColumn("__upto", F.sum(amount).over(upto))
+        .join(shift, keys)
+        .withColumn(name, (F.col("__upto") + F.col("__before")).cast("long"))
+        .drop("__mark", "__bucket", "__upto", "__before")
     )
 
 
+def numbered(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Dense numbers from 0 within each value of ``by``, in the order of a hash of ``order``.
+
+    ``order`` must tell rows apart. Rows are dealt into hash buckets of about ``ROWS_PER_BUCKET`` rows,
+    numbered inside each, and shifted by the counts of the buckets before: no task holds a whole group.
+    """
+    one = df.withColumn("__one", F.lit(1))
+    return running_total(one, by, "__one", order, name).withColumn(name, F.col(name) - 1).drop("__one")
+
+
 def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
