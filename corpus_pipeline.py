@@ -7,11 +7,13 @@ folder and the next stage reads that.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketloom.llm.common import stored, table
 from ticketloom.llm.decontaminate import drop_contaminated
 from ticketloom.llm.packing import pack_documents
 from ticketloom.llm.quality import keep_good, train
+from ticketloom.llm.secrets import masked
 from ticketloom.llm.simhash import keep_first
 
 
@@ -30,6 +32,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret found in their texts masked."""
+    return masked(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     return pack_documents(docs)
@@ -39,6 +46,7 @@ STAGES = [
     ("quality classifier", quality),
     ("near duplicates", near_duplicates),
     ("decontamination", decontaminate),
+    ("secret scans", secrets),
     ("packing", pack),
 ]
 

@@ -188,17 +188,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each group of near-duplicates, all columns: the one with the smallest (doc_id, text hash).
+    """One row of each group of near-duplicates, all columns: the one with the smallest doc_id.
 
-    Ties between repeated rows go to any one of them.
+    Among rows of one doc_id any may stay. Only ids and roots are moved to find the rows that go.
     """
     columns = docs.columns
     keyed = stored(with_row_key(docs, "__row"))
     source = keyed.select(F.col("__row").alias("row_key"), "doc_id", "text")
     found = near_duplicates(source, shingle, distance)
+    found = stored(found.select("row_key", "doc_id", "root"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")
-    kept = found.groupBy("root").agg(first).select(F.col("first.row_key").alias("__row"))
-    return keyed.join(kept, "__row", "left_semi").select(*columns)
+    kept = found.groupBy("root").agg(first).select("root", F.col("first.row_key").alias("kept"))
+    gone = found.join(kept, "root").where("row_key <> kept").select(F.col("row_key").alias("__row"))
+    return keyed.join(gone, "__row", "left_anti").select(*columns)
 
 
 @query("op5_simhash")
