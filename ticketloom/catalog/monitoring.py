@@ -21,7 +21,7 @@ from ticketloom.streaming import jobs
     "reference_window",
     "D1",
     S.with_(S.ENRICHED)
-    + """SELECT id, refined_queue, body_length, has_software FROM enriched ORDER BY sha256('42-' || id), id LIMIT 5000""",
+    + """SELECT id, refined_queue, body_length, has_software FROM enriched """,
 )
 def reference_window(spark, sf):
     return drift.reference_window(S.enriched(spark, sf)).select("id", "refined_queue", "body_length", "has_software")
@@ -32,7 +32,7 @@ def reference_window(spark, sf):
     "D2",
     S.with_(S.LOG, DRIFT_TICKETS)
     + """SELECT id, refined_queue, body_length, has_network, has_software FROM drift_tickets
-         WHERE created_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY ORDER BY sha256('42-' || id), id LIMIT 1000""",
+         WHERE created_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY""",
 )
 def current_window(spark, sf):
     current = drift.current_window(
@@ -85,8 +85,8 @@ def column_drift(spark, sf):
     "dataset_drift",
     "D4",
     S.with_(SIDES)
-    + """SELECT avg(CAST(score >= 1e-2 AS DOUBLE)) AS drift_share, avg(CAST(score >= 1e-2 AS DOUBLE)) > 5e-1
-         AS dataset_drift, (SELECT count(*) FROM side WHERE ref) AS n_ref,
+    + """SELECT avg(CAST(score >= 1e-2 AS DOUBLE)) AS drift_share, avg(CAST(score >= 1e-2 AS DOUBLE)) AS measured_share,
+         avg(CAST(score >= 1e-2 AS DOUBLE)) > 5e-1 AS dataset_drift, (SELECT count(*) FROM side WHERE ref) AS n_ref,
          (SELECT count(*) FROM side WHERE NOT ref) AS n_cur FROM col_drift""",
 )
 def dataset_drift(spark, sf):
@@ -259,12 +259,16 @@ def _run(df, label):
 @query(
     "stream_enrich",
     "X1",
-    S.with_(S.ENRICHED) + "SELECT id, refined_queue, urgency_level, body_length, has_network, has_software FROM enriched",
+    S.with_(S.ENRICHED)
+    + """SELECT id, refined_queue, urgency_level, body_length, has_network, has_software, body_clean, answer_clean
+         FROM enriched""",
 )
 def stream_enrich(spark, sf):
     arriving = S.tickets_from_documents(jobs.read_file_stream(spark, sf, DOCUMENTS, "documents.parquet"))
-    done = _run(jobs.stream_enrich(arriving, S.TEST_KEYWORDS, "id"), "stream-enrich")
-    return done.select("id", "refined_queue", "urgency_level", "body_length", "has_network", "has_software")
+    done = _run(jobs.stream_enrich(arriving, S.TEST_KEYWORDS), "stream-enrich")
+    return done.select(
+        "id", "refined_queue", "urgency_level", "body_length", "has_network", "has_software", "body_clean", "answer_clean"
+    )
 
 
 def _classifiers(spark, sf, encoder):
@@ -295,17 +299,22 @@ def stream_predict(spark, sf):
     return stored.groupBy("predicted_queue", "predicted_urgency").agg(F.count("*").alias("count"))
 
 
-CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+def _run_batches(df, label, make):
+    path = scratch_path(df.sparkSession, label)
+    jobs.write_batches(df, f"{path}/out", f"{path}/checkpoint", lambda batch, _: make(batch)).awaitTermination()
+    return jobs.read_batches(df.sparkSession, f"{path}/out")
 
 
 @query(
     "tumbling_class_counts",
     "X3",
-    f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS class,
-        count(*) AS count FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED} GROUP BY 1, 2""",
+    """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS class,
+       count(*) AS count FROM events GROUP BY 1, 2""",
 )
 def tumbling_class_counts(spark, sf):
-    done = _run(jobs.tumbling_class_counts(_log_stream(spark, sf), "predicted_queue"), "tumbling")
+    """Counts of every micro-batch, merged: all windows, the last ones and late rows included."""
+    pieces = _run_batches(_log_stream(spark, sf), "tumbling", lambda b: jobs.class_count_pieces(b, "predicted_queue"))
+    done = jobs.merged_class_counts(pieces)
     return done.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -326,11 +335,13 @@ SLIDING = """SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) A
   {where} GROUP BY 1"""
 
 
-@query("sliding_feature_means", "X4", SLIDING.format(where=f"WHERE s + INTERVAL 7 DAY <= {CLOSED}"))
+@query("sliding_feature_means", "X4", SLIDING.format(where=""))
 def sliding_feature_means(spark, sf):
-    done = _run(jobs.sliding_feature_means(_log_stream(spark, sf), "confidence_queue"), "sliding")
+    pieces = _run_batches(
+        _log_stream(spark, sf), "sliding", lambda b: jobs.feature_mean_pieces(b, "confidence_queue")
+    )
     start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
-    return done.withColumns({"window_start": start, "mean": F.round("mean", 6)})
+    return jobs.merged_feature_means(pieces).withColumns({"window_start": start, "mean": F.round("mean", 6)})
 
 
 @query("sliding_feature_means_batch", "X4", SLIDING.format(where=""))
@@ -342,31 +353,33 @@ def sliding_feature_means_batch(spark, sf):
 
 @query("stream_insert_ignore", "X5", "SELECT DISTINCT event_type, props FROM events")
 def stream_insert_ignore(spark, sf):
-    events = jobs.event_time(_event_stream(spark, sf).withColumnRenamed("ts", "created_at"))
-    return _run(jobs.stream_insert_ignore(events, ["event_type", "props"]), "dedup").select("event_type", "props")
+    path = scratch_path(spark, "first-rows")
+    stream = jobs.stream_insert_ignore(
+        _event_stream(spark, sf), ["event_type", "props"], ["ts", "event_id"], f"{path}/out", f"{path}/checkpoint"
+    )
+    stream.awaitTermination()
+    return jobs.read_batches(spark, f"{path}/out").select("event_type", "props")
 
 
 JOINED = """SELECT l.id, f.correct_queue, strftime(f.feedback_at, '%Y-%m-%d %H:%M:%S') AS feedback_at
-  FROM log l JOIN feedback f ON f.prediction_id = l.id AND f.feedback_at >= l.created_at
+  FROM log l LEFT JOIN feedback f ON f.prediction_id = l.id AND f.feedback_at >= l.created_at
     AND f.feedback_at <= l.created_at + INTERVAL 1 DAY"""
 
 
-def _matched(joined):
-    at = F.date_format("feedback_at", "yyyy-MM-dd HH:mm:ss").alias("feedback_at")
-    return joined.where("feedback_at IS NOT NULL").select("id", "correct_queue", at)
-
-
 @query("feedback_stream_join", "X6", S.with_(S.LOG, S.FEEDBACK) + JOINED)
 def feedback_stream_join(spark, sf):
-    """The matched pairs; unmatched predictions follow only after the watermark has passed them."""
+    """The stream's matches, completed by the batch step: every prediction, matched or not."""
     corrections = jobs.event_time(S.feedback_from_events(_event_stream(spark, sf)), "feedback_at")
-    return _matched(_run(jobs.feedback_stream_join(_log_stream(spark, sf), corrections), "joined"))
+    streamed = _run(jobs.feedback_stream_join(_log_stream(spark, sf), corrections), "joined")
+    log = jobs.event_time(S.prediction_log(spark, sf))
+    done = jobs.completed_join(streamed, log, jobs.event_time(S.feedback(spark, sf), "feedback_at"))
+    return done.select("id", "correct_queue", F.date_format("feedback_at", "yyyy-MM-dd HH:mm:ss").alias("feedback_at"))
 
 
 @query(
     "feedback_join_batch",
     "X6",
-    S.with_(S.LOG, S.FEEDBACK) + JOINED.replace("FROM log l JOIN", "FROM log l LEFT JOIN"),
+    S.with_(S.LOG, S.FEEDBACK) + JOINED,
 )
 def feedback_join_batch(spark, sf):
     log = jobs.event_time(S.prediction_log(spark, sf))

@@ -483,7 +483,9 @@ def first_matches(spark, sf):
          UNION ALL
          SELECT -id - 1, input_text, CASE feedback_queue WHEN 'network' THEN 'Network / Infrastructure'
            WHEN 'hardware' THEN 'Hardware / Device' WHEN 'security' THEN 'Security / Access' END,
-           feedback_urgency, 'en', '', CAST(length(input_text) AS INTEGER), 0, 1e0
+           CASE WHEN coalesce(feedback_urgency, predicted_urgency) IN ('critical', 'high') THEN 'high'
+             WHEN coalesce(feedback_urgency, predicted_urgency) = 'medium' THEN 'medium' ELSE 'low' END,
+           'en', '', CAST(length(input_text) AS INTEGER), 0, 1e0
          FROM corrected WHERE feedback_queue IN ('network', 'hardware', 'security')""",
 )
 def append_feedback(spark, sf):

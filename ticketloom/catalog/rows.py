@@ -180,7 +180,8 @@ def validate_labels(spark, sf):
     return checked.select("feedback_id", "correct_queue", "correct_urgency", "valid")
 
 
-TRIM = r"regexp_replace(regexp_replace({c}, '^[\s\pZ]+', ''), '[\s\pZ]+$', '')"
+SPACES = r"[\s\x0b\x1c-\x1f\x{85}\pZ]+"
+TRIM = "regexp_replace(regexp_replace({c}, '^%s', ''), '%s$', '')" % ((SPACES.replace("{", "{{").replace("}", "}}"),) * 2)
 
 
 @query(

@@ -70,7 +70,7 @@ def reload_table(spark, sf):
 @query(
     "append_log",
     "S8",
-    """SELECT batch, count(*) AS n_rows, count(*) AS n_ids, true AS positive, true AS continues FROM (
+    """SELECT batch, count(*) AS n_rows, count(*) AS n_ids, true AS positive, 0 AS shared FROM (
       SELECT CASE WHEN value < 50 THEN '1' ELSE '2' END AS batch FROM events) GROUP BY batch""",
 )
 def append_log(spark, sf):
@@ -79,12 +79,12 @@ def append_log(spark, sf):
     first = tables.append_log(log.where(F.col("confidence_queue") < 0.1), path, "1")
     second = tables.append_log(log.where(F.col("confidence_queue") >= 0.1), path, "2")
     both = first.withColumn("batch", F.lit("1")).unionByName(second.withColumn("batch", F.lit("2")))
-    after = F.when(F.col("batch") == "2", F.min("id") > first.agg(F.max("id")).scalar()).otherwise(True)
+    shared = first.join(second, "id").agg(F.count("*").cast("int")).scalar()
     return both.groupBy("batch").agg(
         F.count("*").alias("n_rows"),
         F.count_distinct("id").alias("n_ids"),
         (F.min("id") > 0).alias("positive"),
-        after.alias("continues"),
+        shared.alias("shared"),
     )
 
 

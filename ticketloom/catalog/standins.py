@@ -269,9 +269,11 @@ CACHE = """cache AS (
     CASE WHEN lang = 'en' THEN 'hashed-ngrams' ELSE 'other' END AS model_name
   FROM documents WHERE lang IN ('en', 'fr'))"""
 
-VECTORS = """vecs AS (
+VECS = """vecs AS (
   SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS nrm
-  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))"""
+
+VECTORS = f"""{VECS},
 pairs AS (
   SELECT a.vec_id AS qid, b.vec_id AS doc_id, a.label AS q_label, b.label AS d_label,
     1 - list_dot_product(a.v, b.v) / (a.nrm * b.nrm) AS distance

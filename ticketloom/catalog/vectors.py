@@ -234,7 +234,7 @@ def save_load_model(spark, sf):
 CONTENT = (
     r"regexp_replace(regexp_replace('Problème :' || chr(10) || subject || chr(10) || substring(body_clean, 1, 1000) "
     r"|| chr(10) || chr(10) || 'Réponse agent typique :' || chr(10) || substring(answer_clean, 1, 800), "
-    r"'^[\s\pZ]+', ''), '[\s\pZ]+$', '')"
+    r"'^[\s\x0b\x1c-\x1f\x{85}\pZ]+', ''), '[\s\x0b\x1c-\x1f\x{85}\pZ]+$', '')"
 )
 
 
@@ -273,14 +273,17 @@ def _rounded(hits):
     return hits.withColumns({"distance": F.round("distance", 6), "similarity": F.round("similarity", 6)})
 
 
+# the first vector of each class, then one pass
+COSINE_TO_FIRST = """SELECT w.vec_id AS doc_id, round(1 - list_dot_product(w.v, c.v) / (w.nrm * c.nrm), 6) + 0e0 AS distance
+  FROM vecs w JOIN (SELECT label, arg_min(v, vec_id) AS v, arg_min(nrm, vec_id) AS nrm FROM vecs GROUP BY label) c
+    ON w.label = c.label"""
+
+
 @query(
     "cosine_distance",
     "R3",
-    S.with_(S.VECTORS)
-    + """, centre AS (SELECT d_label, doc_id AS c FROM (SELECT DISTINCT d_label, min(doc_id) OVER (PARTITION BY d_label)
-           AS doc_id FROM pairs))
-         SELECT p.doc_id, round(p.distance, 6) + 0e0 AS distance FROM pairs p JOIN centre ON p.d_label = centre.d_label
-           AND p.qid = centre.c""",
+    S.with_(S.VECS)
+    + COSINE_TO_FIRST,
 )
 def cosine_distance(spark, sf):
     """Distance of every vector to the first vector of its class."""

@@ -14,11 +14,17 @@ SPACE = r"\s\x1c-\x1f\x0b\x85\p{Z}"
 # A run of whitespace other than one plain blank, so that ordinary text needs no replacement.
 WHITESPACE = rf"(?: (?=[{SPACE}])|[{SPACE}&&[^ ]])[{SPACE}]*"
 # (?d): only a newline ends the reach of ".".
+EDGES = rf"^[{SPACE}]+|[{SPACE}]+$"
 TAG = r"(?d)<.*?>"
 PHONE = r"\p{Nd}{3}-\p{Nd}{3}-\p{Nd}{4}"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+def strip(c: Column) -> Column:
+    """``c`` without white space at its ends, by the Unicode rule."""
+    return F.regexp_replace(c, EDGES, "")
+
+
 def clean_text(c: Column) -> Column:
     """Plain text: tags dropped, whitespace collapsed and trimmed, phone numbers masked; NULL gives ''."""
     present = F.coalesce(c, F.lit(""))
@@ -76,8 +82,7 @@ def sanitize_id(c: Column) -> Column:
 def normalize_newlines(c: Column) -> Column:
     """Paragraphs as ``<p>`` and single newlines as ``<br>``; empty input is returned unchanged."""
     squeezed = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    edges = r"^[\s\x1c-\x1f\x0b\x85\p{Z}]+|[\s\x1c-\x1f\x0b\x85\p{Z}]+$"
-    stripped = F.transform(F.split(squeezed, "\n\n"), lambda p: F.regexp_replace(p, edges, ""))
+    stripped = F.transform(F.split(squeezed, "\n\n"), strip)
     kept = F.filter(stripped, lambda p: p != "")
     html = F.transform(
         kept, lambda p: F.concat(F.lit("<p>"), F.replace(p, F.lit("\n"), F.lit("<br>")), F.lit("</p>"))
@@ -91,7 +96,7 @@ def _contains_any(c: Column, words: list[str]) -> Column:
 
 def intent_of(c: Column) -> Column:
     """gratitude, success, positive or (short) confirmation; NULL when the text needs a prediction."""
-    t = F.regexp_replace(F.lower(c), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    t = strip(F.lower(c))
     found = {name: _contains_any(t, words) for name, words in K.INTENT_WORDS.items()}
     found["confirmation"] &= F.length(t) < K.CONFIRMATION_MAX_CHARS
     expr = None
@@ -102,13 +107,13 @@ def intent_of(c: Column) -> Column:
 
 def lang_guard(c: Column) -> Column:
     """'unknown' for texts too short to tell; NULL where the detector decides."""
-    trimmed = F.regexp_replace(F.coalesce(c, F.lit("")), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    trimmed = strip(F.coalesce(c, F.lit("")))
     return F.when(F.length(trimmed) < K.MIN_DETECTABLE_CHARS, F.lit("unknown"))
 
 
 def valid_query(c: Column) -> Column:
     """The trimmed text if it is 1..5000 characters and not blank, else NULL."""
-    trimmed = F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    trimmed = strip(c)
     ok = F.length(c).between(1, K.MAX_QUERY_CHARS) & (F.length(trimmed) > 0)
     return F.when(ok, trimmed)
 

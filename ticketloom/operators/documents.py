@@ -23,7 +23,6 @@ def build_rag_docs(enriched: DataFrame, id_col: str = "id") -> DataFrame:
         F.lit(f"{K.DOC_PROBLEM_HEADER}\n"), subject, F.lit("\n"), body,
         F.lit(f"\n\n{K.DOC_ANSWER_HEADER}\n"), answer,
     )
-    edges = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
     metadata = F.struct(
         F.col("refined_queue"),
         F.col("urgency_level"),
@@ -32,7 +31,7 @@ def build_rag_docs(enriched: DataFrame, id_col: str = "id") -> DataFrame:
     return enriched.select(
         F.concat(F.lit("ticket_"), F.col(id_col).cast("string")).alias("id"),
         F.concat(F.col("refined_queue"), F.lit(" - "), text.left_n(subject, TITLE_CHARS)).alias("title"),
-        F.regexp_replace(content, edges, "").alias("content"),
+        text.strip(content).alias("content"),
         metadata.alias("metadata"),
     )
 

@@ -16,16 +16,16 @@ NUMERIC_DISTINCT = 5
 MIN_STD = 0.001
 
 
-def reference_window(enriched: DataFrame, n: int | None = 5000, seed: int | str = 42) -> DataFrame:
-    """Training features, as a reproducible sample of ``n`` rows or (None) all of them."""
+def reference_window(enriched: DataFrame, n: int | None = None, seed: int | str = 42) -> DataFrame:
+    """Training features: all of them, or a reproducible sample of ``n`` rows if that is asked for."""
     features = enriched.select("id", "subject", "body_clean", "refined_queue", "urgency_level", *K.NUMERIC_FEATURES)
     return features if n is None else hash_sample(features, n, seed)
 
 
 def current_window(
-    log: DataFrame, now, days: int = 7, n: int | None = 1000, seed: int | str = 42, as_tickets=log_as_drift_tickets
+    log: DataFrame, now, days: int = 7, n: int | None = None, seed: int | str = 42, as_tickets=log_as_drift_tickets
 ) -> DataFrame:
-    """The recent log as features; ``as_tickets`` decides how text becomes features."""
+    """The recent log as features, all of it unless ``n`` asks for a sample; ``as_tickets`` makes features of text."""
     recent = as_tickets(last_days(log, days, now))
     return recent if n is None else hash_sample(recent, n, seed)
 
@@ -101,15 +101,19 @@ def dataset_drift(
     share: float = K.DATASET_DRIFT_SHARE,
     min_rows: int = K.MIN_DRIFT_ROWS,
 ) -> DataFrame:
-    """One row: drift_share, dataset_drift, n_ref, n_cur; no drift is reported on too few rows."""
+    """One row: drift_share, measured_share, dataset_drift, n_ref, n_cur.
+
+    On fewer than ``min_rows`` current rows no drift is reported; the measured share stays readable.
+    """
     n_cur = current.agg(F.count("*")).scalar()
     n_ref = reference.agg(F.count("*")).scalar()
     drifted = F.coalesce(F.avg(F.col("drifted").cast("double")), F.lit(0.0))
     measured = columns.agg(drifted.alias("share")).select("share", n_ref.alias("n_ref"), n_cur.alias("n_cur"))
     drift_share = F.when(F.col("n_cur") < min_rows, 0.0).otherwise(F.col("share"))
     return measured.select(
-        drift_share.alias("drift_share"), (drift_share > share).alias("dataset_drift"), "n_ref", "n_cur"
-    )
+        drift_share.alias("drift_share"), F.col("share").alias("measured_share"),
+        (drift_share > share).alias("dataset_drift"), "n_ref", "n_cur",
+    )
 
 
 def class_mix_drift(reference: DataFrame, current: DataFrame, label: str) -> DataFrame:

@@ -90,6 +90,7 @@ def feedback_as_training_tickets(
 ) -> DataFrame:
     """Corrected log rows in the shape of the training table.
 
+    An urgency that was not corrected stays as predicted, and all are mapped to the model's three levels.
     Flags are computed from the text; ``compat=True`` leaves them out, so that aligning the schema
     fills them with zeros.
     """
@@ -99,7 +100,7 @@ def feedback_as_training_tickets(
         t.alias("subject"),
         t.alias("body_clean"),
         F.col("feedback_queue").alias("refined_queue"),
-        F.col("feedback_urgency").alias("urgency_level"),
+        labels.map_urgency(F.coalesce("feedback_urgency", "predicted_urgency")).alias("urgency_level"),
         F.length(t).alias("body_length"),
         F.lit(0).alias("answer_length"),
         F.lit(1.0).alias("response_ratio"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +25,10 @@ from ticketloom.sources import snapshots
 
 @dataclass
 class LoopParams:
-    """Settings of one run; sample sizes of None use all rows."""
+    """Settings of one run; the drift windows hold all rows unless a sample size is given."""
 
-    reference_rows: int | None = 5000
-    current_rows: int | None = 1000
+    reference_rows: int | None = None
+    current_rows: int | None = None
     days: int = 7
     retrain_share: float = K.RETRAIN_SHARE
     tuning_rows: int = 3000
@@ -44,7 +43,7 @@ class LoopParams:
 
 
 def check_drift(enriched: DataFrame, log: DataFrame, now, params: LoopParams) -> DataFrame:
-    """One row: drift_share, dataset_drift, n_ref, n_cur, decision."""
+    """One row: drift_share, measured_share, dataset_drift, n_ref, n_cur, decision."""
     reference = drift.reference_window(enriched, params.reference_rows, params.seed)
     current = drift.current_window(
         log, now, params.days, params.current_rows, params.seed,
@@ -66,8 +65,13 @@ def drift_log_row(result: DataFrame, check_date, report_path: str) -> DataFrame:
 
 
 def training_data(base: DataFrame, log: DataFrame, since, root: str, stamp: str, params: LoopParams) -> DataFrame:
-    """Base tickets plus corrections since ``since``, stored once as a snapshot and read back."""
-    corrected = projections.since(log, F.lit(since).cast("timestamp_ntz"))
+    """Base tickets plus corrections given since ``since``, stored once as a snapshot and read back.
+
+    What counts is when a correction was given, not when the prediction was made. A prediction corrected
+    again after the last snapshot replaces its older row.
+    """
+    corrected = projections.since(log, F.lit(since).cast("timestamp_ntz"), "feedback_at")
+    base = base.join(corrected.select((-F.col("id") - 1).alias("id")).distinct(), "id", "left_anti")
     merged = feedback.append_feedback(base, corrected, params.keywords)
     path = snapshots.write_snapshot(merged, root, stamp)
     return base.sparkSession.read.parquet(path)
@@ -112,11 +116,8 @@ def retrain(features: DataFrame, params: LoopParams, run_id: str, dataset: str)
 def base_and_since(enriched: DataFrame, root: str, since) -> tuple[DataFrame, str]:
     """What to add corrections to, and from when: the newest snapshot, or the enriched table."""
     spark = enriched.sparkSession
-    try:
-        newest = snapshots.latest_snapshot(spark, root).first()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    newest = snapshots.latest_snapshot(spark, root).first()
+    if newest is None:
         return enriched, since
     return snapshots.read_latest_snapshot(spark, root).drop("snapshot"), str(newest["snapshot_at"])
 

@@ -15,13 +15,24 @@ def write_snapshot(df: DataFrame, root: str, stamp: str) -> str:
     return path
 
 
+def snapshot_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the stored snapshots in order, from one listing by Spark's own file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not found.exists(path):
+        return []
+    names = [s.getPath().getName() for s in found.listStatus(path)]
+    return sorted(n.removeprefix("snapshot=") for n in names if n.startswith("snapshot="))
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """One row (snapshot, snapshot_at): the newest by name. Reads directory names, no columns."""
-    name = spark.read.parquet(root).agg(F.max(F.col("snapshot").cast("string")).alias("snapshot"))
+    """One row (snapshot, snapshot_at): the newest by name; none if there is no snapshot. Lists folders only."""
+    name = spark.createDataFrame([(n,) for n in snapshot_names(spark, root)[-1:]], "snapshot string")
     return name.select("snapshot", ts_parse(F.col("snapshot")).alias("snapshot_at"))
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The newest snapshot; only its directory is scanned."""
-    newest = latest_snapshot(spark, root).first()["snapshot"]
-    return spark.read.parquet(root).where(F.col("snapshot").cast("string") == newest)
+    newest = snapshot_names(spark, root)[-1]
+    return spark.read.parquet(f"{root}/snapshot={newest}").withColumn("snapshot", F.lit(newest))

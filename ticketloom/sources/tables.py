@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,11 +70,19 @@ def replace_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None,
 def reload_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None) -> None:
     """Empty the table, keep its definition, and load ``df``.
 
-    A file-based table swaps its files when the job commits; a database truncates instead of dropping.
+    A file-based table's new rows are written to a folder beside the old one, and the table's location is
+    switched when they are complete: a load that fails leaves the table as it was, and readers of the old
+    files, which stay, can finish. A database truncates instead of dropping.
     """
     if jdbc is None:
-        target = df.sparkSession.table(name)
-        df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.insertInto(name, overwrite=True)
+        spark = df.sparkSession
+        target = spark.table(name)
+        described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+        location = described.first()["data_type"].rstrip("/")
+        version = f"{location.split('-version-')[0]}-version-{uuid.uuid4().hex}"
+        df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.parquet(version)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
     else:
         df.write.format("jdbc").options(**jdbc).option("truncate", "true").mode("overwrite").save()
 
@@ -81,17 +90,13 @@ def reload_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None) -
 def append_log(df: DataFrame, path: str, batch: str, id_col: str = "id") -> DataFrame:
     """Append rows as one named batch with new ids, and return them as stored.
 
-    Ids continue after the largest stored one. A batch is written once; repeating it fails instead of
-    adding rows twice.
+    An id is drawn from the batch name and the row's place in it, 63 bits of their hash, so nothing stored is
+    read, writers of different batches do not meet, and ids do not run out. A batch is written once;
+    repeating it fails instead of adding rows twice.
     """
     spark = df.sparkSession
-    try:
-        last = spark.read.parquet(path).agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
-    except AnalysisException as error:  # the first batch has no log yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        last = 0
-    numbered = df.drop(id_col).withColumn(id_col, F.monotonically_increasing_id() + F.lit(last + 1))
+    drawn = F.xxhash64(F.lit(batch), F.monotonically_increasing_id())
+    numbered = df.drop(id_col).withColumn(id_col, drawn.bitwiseAND(F.lit(2**63 - 1)))
     target = f"{path}/batch={batch}"
     numbered.select(id_col, *[c for c in df.columns if c != id_col]).write.mode("errorifexists").parquet(target)
     return spark.read.parquet(target)

@@ -1,16 +1,18 @@
 """Structured Streaming forms of the jobs that work on logs and arriving tickets.
 
-The transformations take any DataFrame, so the batch run of the same function over the whole log is
-the way to repair windows that closed before late rows came in.
+The transformations take any DataFrame. Those with a watermark give each window or match once it is final
+and forget rows that come later; the jobs below them keep mergeable pieces per micro-batch instead, so that
+their results are complete however late a row is and however the input is cut into micro-batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticketloom import constants as K
+from ticketloom.operators.feedback import insert_ignore
 from ticketloom.plans.enrich import enrich
 
 
@@ -48,35 +50,47 @@ def event_time(df: DataFrame, col: str = "created_at") -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp"))
 
 
-def stream_enrich(
-    tickets: DataFrame, keywords: dict[str, list[str]] = K.KEYWORDS, spread_by: str | None = None
-) -> DataFrame:
-    """Ticket features, stateless: the batch chain works on a stream as it is.
-
-    ``spread_by`` hashes each micro-batch over all cores first, for batches of few files.
-    """
-    if spread_by:
-        tickets = tickets.repartition(tickets.sparkSession.sparkContext.defaultParallelism, spread_by)
+def stream_enrich(tickets: DataFrame, keywords: dict[str, list[str]] = K.KEYWORDS) -> DataFrame:
+    """Ticket features, stateless: the batch chain works on a stream as it is, without a shuffle."""
     return enrich(tickets, keywords)
 
 
-def stream_predict(requests: DataFrame, predict, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Score each micro-batch with ``predict`` (DataFrame to log rows) and add it to the log.
+def write_batches(df: DataFrame, path: str, checkpoint: str, make=lambda batch, earlier: batch) -> StreamingQuery:
+    """Stores ``make(rows, earlier)`` of each micro-batch in a partition of its own below ``path``.
 
-    A micro-batch owns one partition of the log, so a replayed batch replaces its own rows.
+    ``earlier`` is what the micro-batches before it stored, or None. A batch that is run again sees the same
+    ``earlier`` and replaces its own rows.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        predict(batch).write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        earlier = None
+        if batch_id:
+            stored = read_batches(batch.sparkSession, path)
+            earlier = stored.where(F.col("batch") < batch_id).drop("batch")
+        make(batch, earlier).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
-        requests.writeStream.foreachBatch(store)
+        df.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_batches`` stored, with the number of the ``batch``."""
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").withColumn("batch", F.col("batch").cast("long"))
+
+
+def stream_predict(requests: DataFrame, predict, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Score each micro-batch with ``predict`` (DataFrame to log rows) and add it to the log.
+
+    A micro-batch owns one partition of the log, so a replayed batch replaces its own rows.
+    """
+
+    return write_batches(requests, log_path, checkpoint, lambda batch, _: predict(batch))
+
+
 def tumbling_class_counts(log: DataFrame, label: str, delay: str = "1 hour", size: str = "1 day") -> DataFrame:
     """Rows per class and day; a day is final once the watermark has passed it."""
     counted = (
@@ -99,15 +113,54 @@ def sliding_feature_means(
     return means.select(F.col("window.start").alias("window_start"), "count", "mean")
 
 
-def stream_insert_ignore(log: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
-    """First row per key; state is dropped once the watermark passes a key's time."""
-    return log.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(keys)
+def _windowed(log: DataFrame, size: str, slide: str | None, by: list) -> GroupedData:
+    return log.groupBy(F.window("created_at", size, slide).getField("start").alias("window_start"), *by)
+
+
+def class_count_pieces(log: DataFrame, label: str, size: str = "1 day") -> DataFrame:
+    """Counts per window and class of one micro-batch; the counts of several add up."""
+    return _windowed(log, size, None, [F.col(label).alias("class")]).agg(F.count("*").alias("count"))
+
+
+def merged_class_counts(pieces: DataFrame) -> DataFrame:
+    return pieces.groupBy("window_start", "class").agg(F.sum("count").alias("count"))
+
+
+def feature_mean_pieces(log: DataFrame, feature: str, size: str = "7 days", slide: str = "1 day") -> DataFrame:
+    """Rows, present values and their sum per sliding window of one micro-batch."""
+    return _windowed(log, size, slide, []).agg(
+        F.count("*").alias("count"), F.count(feature).alias("present"), F.sum(feature).alias("sum")
+    )
+
+
+def merged_feature_means(pieces: DataFrame) -> DataFrame:
+    total = pieces.groupBy("window_start").agg(*[F.sum(c).alias(c) for c in ("count", "present", "sum")])
+    return total.select("window_start", "count", F.try_divide("sum", "present").alias("mean"))
+
+
+def stream_insert_ignore(
+    rows: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str
+) -> StreamingQuery:
+    """Stores the first row per key, for ever: a key that was stored is never let in again.
+
+    Each micro-batch is compared with the stored keys, so nothing is held in state.
+    """
+
+    def fresh(batch: DataFrame, earlier: DataFrame | None) -> DataFrame:
+        existing = batch.select(*keys).limit(0) if earlier is None else earlier
+        return insert_ignore(batch, existing, keys, order)
+
+    return write_batches(rows, path, checkpoint, fresh)
 
 
 def feedback_stream_join(
     log: DataFrame, feedback: DataFrame, within: str = "1 day", delay: str = "1 hour"
 ) -> DataFrame:
-    """Predictions with the corrections that arrive within a day, unmatched ones with NULLs."""
+    """Predictions with the corrections that arrive within a day, unmatched ones with NULLs.
+
+    On a stream an unmatched prediction comes out once the watermark has passed it; ``completed_join`` adds
+    those that are still open.
+    """
     predictions = log.withWatermark("created_at", delay).alias("p")
     corrections = feedback.withWatermark("feedback_at", delay).alias("f")
     matched = (
@@ -117,3 +170,13 @@ def feedback_stream_join(
     )
     joined = predictions.join(corrections, matched, "left")
     return joined.select("p.id", "p.predicted_queue", "p.created_at", "f.correct_queue", "f.feedback_at")
+
+
+def completed_join(streamed: DataFrame, log: DataFrame, feedback: DataFrame, within: str = "1 day") -> DataFrame:
+    """The matches of the stream, and the batch join of every prediction that it gave no match for.
+
+    That fills in open predictions as well as corrections that came after the watermark.
+    """
+    matched = streamed.where(F.col("feedback_at").isNotNull())
+    rest = log.join(matched.select("id").distinct(), "id", "left_anti")
+    return matched.unionByName(feedback_stream_join(rest, feedback, within))
