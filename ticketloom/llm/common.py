@@ -26,9 +26,9 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
-    """Adds a unique long per row. Only fixed once the result is ``stored``."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def with_row_key(df: DataFrame) -> DataFrame:
+    """Adds ``row_key``, a unique long per row. Only fixed once the result is ``stored``."""
+    return df.withColumn("row_key", F.monotonically_increasing_id())
 
 
 def buckets_for(rows: int, per_bucket: int = ROWS_PER_BUCKET, least: int = 1) -> int:

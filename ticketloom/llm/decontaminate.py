@@ -205,15 +205,19 @@ def _automata(items: DataFrame, window: int, max_words: int) -> Iterator[Broadca
 def find_contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, max_item_words: int = MAX_ITEM_WORDS
 ) -> DataFrame:
-    """Per document: doc_id, row_key, n_words, hits (merged word spans), items (names, sorted as strings).
+    """Per row: doc_id, row_key, n_words, hits (merged word spans), items (names, sorted as strings).
 
     An automaton of at most ``max_item_words`` words is broadcast; with more items the documents are read
     once per group of items and the findings are united.
     """
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _key(docs))
+    source = with_row_key(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     automata = list(_automata(items, window, max_item_words))
     if len(automata) > 1:
         source = stored(source)  # fixes the row keys
+    return _found(source, automata)
+
+
+def _found(source: DataFrame, automata: list[Broadcast]) -> DataFrame:
     parts = [source.mapInArrow(lambda it, a=a: _scan(a, it), _PART) for a in automata]
     if len(parts) == 1:
         return parts[0]
@@ -236,10 +240,6 @@ _MERGE = """aggregate(array_sort(hits), cast(array() as array<struct<s:int,e:int
     concat(out, array(x))))"""
 
 
-def _key(docs: DataFrame):
-    return (F.col("row_key") if "row_key" in docs.columns else F.monotonically_increasing_id()).alias("row_key")
-
-
 def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
     """The digest per document: counts, the item names' hash, and the verdict."""
     found = find_contamination(docs, items, window)
@@ -281,11 +281,14 @@ def drop_contaminated(
     if len(automata) == 1:
         columns = docs.columns
         return docs.mapInArrow(lambda it: _cut(automata[0], columns, coverage, it), docs.schema)
-    keyed = stored(with_row_key(docs, "__row"))
-    found = find_contamination(keyed.withColumn("row_key", F.col("__row")), items, window, max_item_words)
+    keyed = stored(with_row_key(docs.select(F.struct("*").alias("row"))))
+    source = keyed.select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").cast("string").alias("text"), "row_key"
+    )
+    found = _found(source, automata)
     n_hit = F.expr("aggregate(hits, 0, (n, x) -> n + x.e - x.s)")
-    bad = found.where((n_hit > 0) & (n_hit * coverage >= F.col("n_words"))).select(F.col("row_key").alias("__row"))
-    return keyed.join(bad, "__row", "left_anti").drop("__row")
+    bad = found.where((n_hit > 0) & (n_hit * coverage >= F.col("n_words"))).select("row_key")
+    return keyed.join(bad, "row_key", "left_anti").select("row.*")
 
 
 SQL = r"""

@@ -161,9 +161,9 @@ class Ledger:
         pairs.write.mode("append").parquet(f"{self.path}/scanned")
 
 
-def content_address(versions: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``blob``, the SHA-256 of the text; null is empty."""
-    return versions.withColumn(text, text_of(text)).withColumn("blob", F.sha2(text, 256))
+def content_address(text: str = "text") -> Column:
+    """SHA-256 of a text; null is empty."""
+    return F.sha2(text_of(text), 256)
 
 
 def _by_blob(findings: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -183,28 +183,32 @@ def _shown(spans: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
+def _found(docs: DataFrame, ledger: Ledger | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, found) of the contents of ``docs`` that have findings; found is sorted."""
+    versions = docs.select(content_address().alias("blob"), text_of().alias("text"))
+    if ledger is not None:
+        ledger.scan(versions, rules)
+        return stored(_by_blob(ledger.findings, rules))
+    fresh = stored(_scanned(_blobs(versions), rules, None))
+    some = reduce(lambda a, b: a | b, [F.col(r.name).isNotNull() for r in rules])
+    parts = [F.coalesce(r.name, F.expr(f"cast(array() as {_SPAN})")) for r in rules]
+    return fresh.where(some).select("blob", F.array_sort(F.concat(*parts)).alias("found"))
+
+
 def scan_secrets(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Per document: doc_id, text, blob and found, the spans (start, kind, end) of its content; all from the ledger.
+    """Per document: doc_id, blob and found, the spans (start, kind, end) of its content; all from the ledger.
 
-    Without a ledger the blobs of this call are scanned in one that is empty.
+    Without a ledger the blobs of this call are scanned as if it were empty.
     """
-    versions = content_address(docs)
-    if ledger is None:
-        fresh = stored(_scanned(_blobs(versions.select("blob", "text")), rules, None))
-        some = reduce(lambda a, b: a | b, [F.col(r.name).isNotNull() for r in rules])
-        parts = [F.coalesce(r.name, F.expr(f"cast(array() as {_SPAN})")) for r in rules]
-        found = fresh.where(some).select("blob", F.array_sort(F.concat(*parts)).alias("found"))
-    else:
-        ledger.scan(versions.select("blob", "text"), rules)
-        found = stored(_by_blob(ledger.findings, rules))
-    return versions.join(found, "blob", "left").withColumn(
-        "found", F.coalesce("found", F.expr(f"cast(array() as {_SPAN})"))
+    paths = docs.select("doc_id", content_address().alias("blob"))
+    return paths.join(_found(docs, ledger, rules), "blob", "left").select(
+        "doc_id", "blob", F.coalesce("found", F.expr(f"cast(array() as {_SPAN})")).alias("found")
     )
 
 
 def secret_report(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
     """Per document the counts and the digest of the base kinds, and all spans."""
-    found = scan_secrets(docs.select("doc_id", "text"), ledger)
+    found = scan_secrets(docs, ledger)
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
     count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
     return found.select(
@@ -217,21 +221,24 @@ def secret_report(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
 
 def masked(docs: DataFrame, ledger: Ledger | None = None, mark: str = "[SECRET]") -> DataFrame:
     """The rows of ``docs``, all columns, with every span replaced; overlapping spans become one mark."""
-    found = scan_secrets(docs.withColumnsRenamed({"blob": "__blob", "found": "__found"}), ledger)
+    rows = docs.select(F.struct("*").alias("row"), content_address().alias("blob"))
+    rows = rows.join(_found(docs, ledger, RULES), "blob", "left")
+    text = F.col("row.text")
     state = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), s["at"], F.greatest(x["start"] + 1 - s["at"], F.lit(0)))
+        gap = F.substring(text, s["at"], F.greatest(x["start"] + 1 - s["at"], F.lit(0)))
         new = x["start"] + 1 >= s["at"]
         return F.struct(
             F.greatest(s["at"], x["end"] + 1).alias("at"),
             F.when(new, F.concat(s["out"], gap, F.lit(mark))).otherwise(s["out"]).alias("out"),
         )
 
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"], F.length("text")))
-    clean = F.when(F.size("found") > 0, F.aggregate("found", state, step, rest)).otherwise(F.col("text"))
-    out = found.withColumn("text", clean).drop("blob", "found")
-    return out.withColumnsRenamed({"__blob": "blob", "__found": "found"}).select(*docs.columns)
+    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"], F.length(text)))
+    clean = F.when(F.col("found").isNotNull(), F.aggregate("found", state, step, rest)).otherwise(text)
+    return rows.select("row.*", clean.alias("__clean")).select(
+        *[F.col("__clean").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    )
 
 
 SQL = r"""

@@ -4,9 +4,9 @@ Linked documents, here those of equal text, should share a shard, and shards sho
 rows. Every row starts with a label drawn from its hash. In each round a group of linked rows takes a vote
 of its rows' labels and asks to move to the shard with most of them, among those with room for the whole
 group; requests are granted while the shard's quota lasts, and the group's rows take the new label. Groups
-that no quota admits, such as one larger than a shard, are dealt out last, in one run over the shards that
-have room, so they are cut as seldom as can be. Unlinked rows fill what is left: counts are at most one
-apart whatever the links.
+larger than a shard fill whole shards before that, and groups that no quota admits are dealt out after it, in
+one run over the shards that have room, so that both are cut as seldom as can be. Unlinked rows fill what is
+left: counts are at most one apart whatever the links.
 
 Only one number per shard reaches the driver in a round.
 
@@ -67,7 +67,18 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
         F.sum("c").alias("n"), F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("votes")
     )
     groups = stored(groups.where("n > 1"))  # votes have an entry per shard at most
-    settled = []
+    # groups larger than a shard, fewer than there are shards, fill whole shards before all others
+    first = total // shards + 1
+    large = groups.where(F.col("n") > first).select("link", "n").orderBy(F.desc("n"), "link").collect()
+    begin, at = {}, 0
+    for r in large:
+        begin[r["link"]], at = at, at + r["n"]
+    spent = [min(left, max(0, at - before)) for left, before in zip(room, accumulate(room, initial=0))]
+    opening, room = room, [left - used for left, used in zip(room, spent)]
+    spark = rows.sparkSession
+    begun = spark.createDataFrame([(k, v) for k, v in begin.items()], "link long, first long")
+    groups = groups.where(F.col("n") <= first)
+    placed = [begun.select("link", F.lit(None).cast("int").alias("shard"), "first", F.lit(True).alias("large"))]
     for _ in range(rounds):
         asked = running_total(_proposals(groups, room), ["target"], "n", ["link"], "upto")
         granted = stored(asked.where(F.col("upto") <= _room_of("target", room)).select("link", "n", "target"))
@@ -75,23 +86,23 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
         if not moved:
             break
         room = [left - moved.get(s, 0) for s, left in enumerate(room)]
-        settled.append(granted.select("link", F.col("target").alias("shard"), F.lit(None).cast("long").alias("first")))
+        placed.append(granted.select("link", F.col("target").alias("shard"), F.lit(None).cast("long").alias("first"), F.lit(False).alias("large")))
         groups = stored(groups.join(granted.select("link"), "link", "left_anti"))
         if groups.isEmpty():
             break
     # what no quota admitted: each group gets the positions [first, first + n) of one run
-    late = running_total(groups, [], "n", ["link"], "upto")
-    late = late.select("link", F.lit(None).cast("int").alias("shard"), (F.col("upto") - F.col("n")).alias("first"))
-    placed = stored(reduce(DataFrame.unionByName, [late, *settled]))
-    known = stored(rows.join(placed, "link", "left"))
-    done = known.where(F.col("shard").isNotNull()).drop("first")
+    late = running_total(groups, [], "n", ["link"], "upto").withColumn("first", F.col("upto") - F.col("n"))
+    placed.append(late.select("link", F.lit(None).cast("int").alias("shard"), "first", F.lit(False).alias("large")))
+    known = stored(rows.join(stored(reduce(DataFrame.unionByName, placed)), "link", "left"))
+    done = known.where(F.col("shard").isNotNull()).drop("first", "large")
     cut = numbered(known.where("shard is null and first is not null"), ["link"], ["row_key"], "at")
     cut = cut.withColumn("at", F.col("at") + F.col("first"))
+    cut = cut.withColumn("shard", F.when(F.col("large"), _dealt(F.col("at"), opening)).otherwise(_dealt(F.col("at"), room)))
     before = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     single = numbered(known.where("shard is null and first is null"), [], ["row_key"], "at")
-    single = single.withColumn("at", F.col("at") + before)
-    rest = cut.unionByName(single).withColumn("shard", _dealt(F.col("at"), room).cast("int"))
-    return done.unionByName(rest.drop("first", "at"))
+    single = single.withColumn("shard", _dealt(F.col("at") + before, room))
+    dealt = cut.unionByName(single).withColumn("shard", F.col("shard").cast("int"))
+    return done.unionByName(dealt.drop("first", "at", "large"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:

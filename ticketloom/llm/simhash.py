@@ -171,12 +171,8 @@ def _roots(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, Dat
     return rows, roots
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Per row: doc_id, row_key, fingerprint (hexadecimal), root, component_id (smallest doc_id reachable).
-
-    ``root`` names the component by its smallest fingerprint, also where all its doc_ids are null.
-    """
-    keyed = docs if "row_key" in docs.columns else with_row_key(docs.select("doc_id", "text"))
+def _near_duplicates(keyed: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """(row_key, doc_id, fingerprint, root, component_id) of rows (row_key, doc_id, text)."""
     rows, roots = _roots(keyed, shingle, distance)
     # per fingerprint first: copies shrink to one row before anything is joined
     least = rows.groupBy("mark").agg(F.min("doc_id").alias("least"))
@@ -184,7 +180,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(rooted.join(names, "root").select("mark", "root", "component_id"))
     shown = F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint")
-    return rows.join(named, "mark").select("doc_id", "row_key", shown, "root", "component_id")
+    return rows.join(named, "mark").select("row_key", "doc_id", shown, "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Per row: doc_id, fingerprint (hexadecimal), root, component_id (smallest doc_id reachable).
+
+    ``root`` names the component by its smallest fingerprint, also where all its doc_ids are null.
+    """
+    keyed = with_row_key(docs.select("doc_id", "text"))
+    return _near_duplicates(keyed, shingle, distance).drop("row_key")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -192,15 +197,13 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
 
     Among rows of one doc_id any may stay. Only ids and roots are moved to find the rows that go.
     """
-    columns = docs.columns
-    keyed = stored(with_row_key(docs, "__row"))
-    source = keyed.select(F.col("__row").alias("row_key"), "doc_id", "text")
-    found = near_duplicates(source, shingle, distance)
+    keyed = stored(with_row_key(docs.select(F.struct("*").alias("row"))))
+    found = _near_duplicates(keyed.select("row_key", "row.doc_id", "row.text"), shingle, distance)
     found = stored(found.select("row_key", "doc_id", "root"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")
     kept = found.groupBy("root").agg(first).select("root", F.col("first.row_key").alias("kept"))
-    gone = found.join(kept, "root").where("row_key <> kept").select(F.col("row_key").alias("__row"))
-    return keyed.join(gone, "__row", "left_anti").select(*columns)
+    gone = found.join(kept, "root").where("row_key <> kept").select("row_key")
+    return keyed.join(gone, "row_key", "left_anti").select("row.*")
 
 
 @query("op5_simhash")
