@@ -22,8 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: fixed rows, whatever executor is lost later."""
-    return cut_lineage(df)
+    """``df`` as a Parquet table in the shared folder: fixed rows, whatever executor is lost later.
+
+    What it was made from is not needed again. Spark deletes the shuffle files of a finished plan when the
+    driver collects its garbage, which an idle driver may not do for long, so it is asked to.
+    """
+    table = cut_lineage(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
