@@ -1,7 +1,8 @@
 """Times the headline queries: python bench.py
 
 Environment: BENCH_SF_DIR (data folder), BENCH_CPUS (local cores), BENCH_QUERIES (comma-separated names).
-Every query runs to the end into Spark's no-op sink; the better of two runs counts.
+Every query runs to the end into Spark's no-op sink; the better of two runs counts, or the only one of a query
+that takes more than half a minute.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ HEADLINE = [
     "stratified_sample", "row_index", "tfidf_vocabulary", "tfidf_features", "embed_texts", "detect_language",
     "retrieve", "retrieve_filtered", "retrieve_with_fallback", "query_doc_pairs", "ann_retrieve", "column_drift",
     "history_before_last", "tumbling_class_counts", "feedback_stream_join", "train_and_evaluate", "predict_batch",
+    "replace_table", "write_dataset", "train_on_tfidf", "random_search", "monitor_and_retrain",
 ]
 
 
@@ -42,8 +44,10 @@ def main() -> None:
             start = time.perf_counter()
             registered[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
+            if runs[0] > 30:
+                break
         seconds[name] = round(min(runs), 3)
-        print(f"{name}: {runs[0]:.2f} {runs[1]:.2f}", file=sys.stderr, flush=True)
+        print(f"{name}:", *[f"{r:.2f}" for r in runs], file=sys.stderr, flush=True)
     line = {
         "metric": "total time of headline queries",
         "value": round(sum(seconds.values()), 3),

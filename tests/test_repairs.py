@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketloom import constants as K
+from ticketloom.catalog import standins as S
 from ticketloom.functions import text
-from ticketloom.operators import drift, feedback
+from ticketloom.operators import drift, feedback, joins, models, skew, textvec
 from ticketloom.plans import monitor
 from ticketloom.sources import records, snapshots, tables
 from ticketloom.streaming import jobs
@@ -119,3 +120,42 @@ def test_the_measured_share_stays_readable_on_few_rows(spark):
     columns = spark.createDataFrame([("a", True), ("b", False)], "column string, drifted boolean")
     row = drift.dataset_drift(columns, spark.range(500), spark.range(3)).first()
     assert (row.drift_share, row.measured_share, row.dataset_drift) == (0.0, 0.5, False)
+
+
+def test_a_second_run_encodes_nothing(spark, sf, tmp_path):
+    encoder = textvec.HashEncoder(16, "tiny")
+    path = str(tmp_path / "cache")
+    S.embedding_cache(spark, sf).limit(0).write.parquet(path)
+    sizes = []
+    for _ in range(2):
+        _, additions = monitor.embedded_features(S.enriched(spark, sf), spark.read.parquet(path), encoder, S.NOW)
+        sizes.append(additions.count())
+        additions.write.mode("append").parquet(path)
+    assert sizes[0] > 0 and sizes[1] == 0
+
+
+def test_one_drift_row_per_date(spark, tmp_path):
+    columns = spark.createDataFrame([("a", True), ("b", False)], "column string, drifted boolean")
+    result = drift.dataset_drift(columns, spark.range(500), spark.range(300))
+    for date in ("2024-01-01", "2024-01-01", "2024-01-02"):
+        monitor.append_drift_row(monitor.drift_log_row(result, f"{date} 00:00:00", "r"), str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).groupBy("check_date").count().where("count = 1").count() == 2
+
+
+def test_hot_keys_get_salts_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SALT_ROWS", 10)
+    left = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.createDataFrame([(1, "one"), (2500, "other")], "k long, v string")
+    got = skew.skew_join(left, right, ["k"], "left", spread_by=["id"])
+    assert got.count() == 3000 and got.where("v = 'one'").count() == 2000 and got.where("v = 'other'").count() == 1
+
+
+def test_few_misses_fetch_texts_without_a_shuffle_of_them(spark, sf):
+    texts = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = joins.cache_misses(texts, S.embedding_cache(spark, sf), S.MODEL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "strategy=broadcast" in plan
+
+
+def test_search_draws_only_what_the_model_uses():
+    assert all("learning_rate" not in p for p in models.draw_params(5, kind="forest"))
+    assert all("learning_rate" in p for p in models.draw_params(5))

@@ -281,24 +281,52 @@ def _classifiers(spark, sf, encoder):
     }
 
 
-@query("stream_predict", "X2")
-def stream_predict(spark, sf):
+def _streamed_log(spark, sf):
     """User messages arriving as a file stream, classified batch by batch into the prediction log."""
     encoder = textvec.HashEncoder(64)
     fitted = _classifiers(spark, sf, encoder)
     conversations = "conv_id bigint, turn bigint, role string, text string"
     arriving = jobs.read_file_stream(spark, sf, conversations, "conversations.parquet").where("role = 'user'")
-    requests = arriving.select(F.col("text").alias("user_query"))
+    key = F.shiftleft("conv_id", 16) + F.col("turn") + 1
+    requests = arriving.select(key.alias("request_id"), F.col("text").alias("user_query"))
     path = scratch_path(spark, "stream-predict")
 
     def predict(batch):
-        return serve.log_rows(serve.predict_requests(batch, encoder, fitted, S.TEST_KEYWORDS), S.NOW)
+        found = serve.predict_requests(batch, encoder, fitted, S.TEST_KEYWORDS)
+        return serve.log_rows(found, S.NOW, ids=F.col("request_id"))
 
     jobs.stream_predict(requests, predict, f"{path}/log", f"{path}/checkpoint").awaitTermination()
-    stored = spark.read.parquet(f"{path}/log")
+    return jobs.read_batches(spark, f"{path}/log").drop("batch")
+
+
+@query("stream_predict", "X2")
+def stream_predict(spark, sf):
+    stored = _streamed_log(spark, sf)
     return stored.groupBy("predicted_queue", "predicted_urgency").agg(F.count("*").alias("count"))
 
 
+REQUESTS = """requests AS (SELECT conv_id * 65536 + turn + 1 AS id, text FROM conversations
+  WHERE role = 'user' AND length(text) BETWEEN 1 AND 5000 AND trim(text) <> '')"""
+
+
+@query(
+    "stream_predict_corrected",
+    "X2 S10",
+    S.with_(REQUESTS)
+    + """SELECT id, true AS scored, CASE WHEN id % 3 = 0 THEN 'network' END AS feedback_queue FROM requests""",
+)
+def stream_predict_corrected(spark, sf):
+    """Streamed predictions have the ids of their requests, so corrections given later reach them."""
+    log = cut_lineage(_streamed_log(spark, sf))
+    given = log.where("id % 3 = 0").select(
+        F.col("id").alias("feedback_id"), F.col("id").alias("prediction_id"), F.lit("network").alias("correct_queue"),
+        F.lit(None).cast("string").alias("correct_urgency"), F.lit(S.NOW).cast("timestamp_ntz").alias("feedback_at"),
+    )
+    corrected = feedback.apply_feedback(log, given)
+    scored = F.col("predicted_queue").isNotNull() & F.col("confidence_queue").between(0, 1)
+    return corrected.select("id", scored.alias("scored"), "feedback_queue")
+
+
 def _run_batches(df, label, make):
     path = scratch_path(df.sparkSession, label)
     jobs.write_batches(df, f"{path}/out", f"{path}/checkpoint", lambda batch, _: make(batch)).awaitTermination()
@@ -391,17 +419,17 @@ def feedback_join_batch(spark, sf):
 # --- whole chains -------------------------------------------------------------------------------
 
 
-@query("answer_requests", "M12 C2 R7 C4")
-def answer_requests(spark, sf):
+def _answered(spark, sf):
     """The last message of every conversation classified, matched with documents and turned into a prompt."""
     encoder = textvec.HashEncoder(64)
     fitted = _classifiers(spark, sf, encoder)
-    last = dialog.last_turns(S.messages(spark, sf))
-    past = F.array(F.struct(F.lit("user").alias("role"), F.col("first_user").alias("content")))
-    requests = last.select(
-        F.col("conv_id").alias("request_id"),
-        F.col("query").alias("user_query"),
-        F.when(F.col("n_messages") > 1, past).alias("history"),
+    messages = S.messages(spark, sf)
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "content")))
+    past = dialog.history_before_last(messages).groupBy("conv_id").agg(
+        F.transform(turns, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("history")
+    )
+    requests = dialog.last_turns(messages).join(past, "conv_id", "left").select(
+        F.col("conv_id").alias("request_id"), F.col("query").alias("user_query"), "history"
     )
     predicted = cut_lineage(serve.predict_requests(requests, encoder, fitted, S.TEST_KEYWORDS).drop("features", "embedding"))
     docs = S.enriched(spark, sf).select(
@@ -409,13 +437,29 @@ def answer_requests(spark, sf):
     )
     docs = cut_lineage(textvec.embed_texts(docs, encoder, "content"))
     contexts = serve.answer_context(predicted, docs, encoder)
-    answered = serve.prompts(predicted, contexts)
-    return answered.select(
+    return serve.prompts(predicted, contexts)
+
+
+@query("answer_requests", "M12 C2 R7 C4")
+def answer_requests(spark, sf):
+    return _answered(spark, sf).select(
         "request_id", "predicted_refined_queue", "predicted_urgency_level", F.size("messages").alias("n_messages"),
         F.size(F.coalesce("sources", F.array().cast("array<string>"))).alias("n_sources"),
     )
 
 
+@query(
+    "answer_prompts",
+    "C2 C4",
+    """SELECT conv_id AS request_id, CAST(count(*) + 1 AS INTEGER) AS n_messages, true AS classified
+       FROM conversations GROUP BY conv_id""",
+)
+def answer_prompts(spark, sf):
+    """Every request's prompt: the system message, its whole history, and the new message."""
+    classified = F.col("confidence_refined_queue").between(0, 1) & F.col("predicted_refined_queue").isNotNull()
+    return _answered(spark, sf).select("request_id", F.size("messages").alias("n_messages"), classified.alias("classified"))
+
+
 @query("monitor_and_retrain", "D1 D2 D3 D4 P16 U1 S3 L5 M6 M9 M11 M14")
 def monitor_and_retrain(spark, sf):
     """Drift check over the log and, as it finds drift, search, training and the promotion gate."""
@@ -425,10 +469,19 @@ def monitor_and_retrain(spark, sf):
         reference_rows=None, current_rows=None, trials=2, folds=2, keywords=S.TEST_KEYWORDS, fragments=S.TEST_FRAGMENTS,
         space={"max_depth": ("choice", [4, 5, 6]), "n_estimators": ("choice", [5, 10])},
     )
-    cache = S.embedding_cache(spark, sf).where(F.col("model_name") == "none")
+    # an earlier run has encoded the English tickets; the others are encoded now and appended
+    known = textvec.embed_texts(training_table(S.enriched(spark, sf)).where("language = 'en'"), encoder)
+    cached = known.select(
+        F.sha2("text", 256).alias("text_hash"), F.lit(encoder.name).alias("model_name"), F.col("text").alias("text_content"),
+        "embedding", F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("created_at"),
+    )
+    path = scratch_path(spark, "cache")
+    cached.dropDuplicates(["text_hash"]).write.parquet(path)
+    cache = spark.read.parquet(path)
     record = monitor.monitor_and_retrain(
         S.enriched(spark, sf), log, cache, encoder, S.NOW, "2024-01-01 00:00:00",
-        scratch_path(spark, "training"), "20240131_060000", params,
+        scratch_path(spark, "training"), "20240131_060000", params, cache_path=path,
+        drift_log=scratch_path(spark, "drift-log"),
     )
     return record.select("run_id", "dataset", "status", "reason")
 

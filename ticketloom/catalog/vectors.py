@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.catalog import standins as S
 from ticketloom.catalog.registry import query
+from ticketloom.catalog.relational import SPLIT
 from ticketloom.functions import vectors
 from ticketloom.operators import (
     aggregates,
@@ -22,6 +23,7 @@ from ticketloom.plans.enrich import training_table
 from ticketloom.session import cut_lineage, scratch_path
 from ticketloom.sources.tables import spread
 
+HASHED_BELOW_HALF = "CAST(('0x' || substring(sha256('42-' || doc_id), 1, 8)) AS BIGINT) / 4294967296e0 < 5e-1"
 ENCODER = textvec.HashEncoder(64)
 
 
@@ -216,7 +218,7 @@ def predict_batch(spark, sf):
     return models.predict_batch(rows, fitted).drop("features")
 
 
-@query("save_load_model", "M13")
+@query("save_load_model", "M13", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS differing FROM documents")
 def save_load_model(spark, sf):
     """A stored and reloaded model must predict as before: rows and disagreements."""
     rows = _features(spark, sf)
@@ -229,6 +231,91 @@ def save_load_model(spark, sf):
     return before.join(again, "id").agg(F.count("*").alias("n_rows"), differs.alias("differing"))
 
 
+def _checked(rows, predicted, target):
+    """Per row: whether the class is one of the training classes, and the confidence a probability."""
+    classes = rows.select(F.col(target).alias(f"predicted_{target}")).distinct().withColumn("__known", F.lit(True))
+    confidence = F.col(f"confidence_{target}")
+    return predicted.join(F.broadcast(classes), f"predicted_{target}", "left").select(
+        "id", F.coalesce("__known", F.lit(False)).alias("known_class"), ((confidence > 0) & (confidence <= 1)).alias("probable")
+    )
+
+
+PROBABLE = "SELECT id, true AS known_class, true AS probable FROM enriched"
+
+
+@query("predict_batch_checked", "M12", S.with_(S.ENRICHED) + PROBABLE)
+def predict_batch_checked(spark, sf):
+    """A forest's predictions over all tickets: known classes with probabilities."""
+    rows = _features(spark, sf)
+    model = models.train_classifier(rows, "refined_queue", "forest", max_depth=5, n_estimators=10)
+    return _checked(rows, models.predict_batch(rows, {"refined_queue": model}), "refined_queue")
+
+
+@query("predict_boosted", "M8 M12", S.with_(S.ENRICHED) + PROBABLE.replace("FROM", ", 1e0 AS total FROM"))
+def predict_boosted(spark, sf):
+    """Boosted trees on balanced urgency classes: known classes, and probabilities that add up to one."""
+    rows = _features(spark, sf)
+    model = models.train_classifier(rows, "urgency_level", "boosted", True, max_depth=3, n_estimators=5)
+    summed = models.class_probabilities(model, rows.select("id", "features"), "p").select(
+        "id", F.round(F.aggregate("p", F.lit(0.0), lambda s, x: s + x), 6).alias("total")
+    )
+    predicted = models.predict(model, rows, "urgency_level")
+    return _checked(rows, predicted, "urgency_level").join(summed, "id")
+
+
+@query(
+    "evaluate_supports",
+    "M8 M9",
+    S.with_(S.ENRICHED, SPLIT.format(keys="queue, urgency_level", table="enriched", test="15e-2", val="15e-2"))
+    + """SELECT refined_queue AS class, count(*) AS support, true AS measured FROM split WHERE split = 'test' GROUP BY 1""",
+)
+def evaluate_supports(spark, sf):
+    """The report of a trained model on the test part: its classes, their supports, scores within [0, 1]."""
+    rows = _features(spark, sf)
+    split = cut_lineage(sampling.stratified_split(rows, ["queue", "urgency_level"], 0.15, 0.15))
+    model = models.train_classifier(
+        sampling.split_part(split, "train"), "refined_queue", "forest", max_depth=5, n_estimators=10
+    )
+    report = models.evaluate(model, sampling.split_part(split, "test"), "refined_queue")
+    classes = report.where(~F.col("class").isin("accuracy", "macro avg", "weighted avg") & (F.col("support") > 0))
+    return classes.select("class", F.col("support").cast("bigint").alias("support"), F.col("f1").between(0, 1).alias("measured"))
+
+
+@query(
+    "search_folds",
+    "M10 M11",
+    """WITH f AS (SELECT CAST(floor(CAST(('0x' || substring(sha256('42-' || doc_id), 1, 8)) AS BIGINT) / 4294967296e0 * 2)
+         AS INTEGER) AS fold, count(*) AS n_rows FROM documents GROUP BY 1)
+       SELECT run_id, fold, n_rows, true AS measured FROM f, (VALUES ('run-000'), ('run-001')) AS r(run_id)""",
+)
+def search_folds(spark, sf):
+    """Two parameter sets by 2-fold cross-validation: one score per run, and the rows of each fold."""
+    rows = _features(spark, sf)
+    sets = [{"max_depth": 3, "n_estimators": 5}, {"max_depth": 4, "n_estimators": 5}]
+    runs = models.random_search(rows, "urgency_level", sets, 2)
+    folds = models._folded(rows, "urgency_level", 2, 42, "id").groupBy("fold").agg(F.count("*").alias("n_rows"))
+    each = runs.select("run_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("fold"), F.col("score").between(0, 1).alias("measured"))
+    return each.join(folds, "fold").select("run_id", "fold", "n_rows", "measured")
+
+
+@query(
+    "language_agreement",
+    "M3",
+    f"""SELECT lang, count(*) AS n, true AS agrees FROM documents
+        WHERE {HASHED_BELOW_HALF} GROUP BY lang""",
+)
+def language_agreement(spark, sf):
+    """Texts that the model was not trained on: rows per language, and whether nine in ten are recognised.
+
+    Texts too short to tell are counted as recognised.
+    """
+    d = spread(S.table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    parts = sampling.random_split(d, 0.5, 42, "doc_id")
+    found = language.detect_language(sampling.split_part(parts, "test"), language.fit_language(sampling.split_part(parts, "train")))
+    right = F.col("detected_lang").isin("unknown") | (F.col("detected_lang") == F.col("lang"))
+    return found.groupBy("lang").agg(F.count("*").alias("n"), (F.avg(right.cast("double")) >= 0.9).alias("agrees"))
+
+
 # --- documents ----------------------------------------------------------------------------------
 
 CONTENT = (

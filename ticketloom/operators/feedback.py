@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketloom import constants as K
 from ticketloom.functions import text
+from ticketloom.functions.labels import map_urgency
 from ticketloom.operators import joins
 from ticketloom.operators.projections import align_schema, feedback_as_training_tickets, validate_labels
 from ticketloom.operators.windows import first_per_key, latest_per_key
@@ -55,9 +56,12 @@ def append_feedback(
 
     Short correction labels become model classes by ``mapping`` (None keeps them); rows whose label
     stands for no class are left out and can be listed with ``joins.unmapped_feedback``. Log ids are
-    numbered apart from ticket ids, so the added rows carry ``-id - 1``.
+    numbered apart from ticket ids, so the added rows carry ``-id - 1``. An urgency that was not corrected
+    stays as predicted, and all are mapped to the model's three levels.
     """
-    rows = feedback_as_training_tickets(log, keywords, compat).withColumn("id", -F.col("id") - 1)
+    urgency = map_urgency(F.coalesce("feedback_urgency", "predicted_urgency"))
+    rows = feedback_as_training_tickets(log.withColumn("feedback_urgency", urgency), keywords, compat)
+    rows = rows.withColumn("id", -F.col("id") - 1)
     if mapping is not None:
         mapped = joins.map_feedback_labels(rows, mapping, "refined_queue")
         rows = mapped.where(F.col("feedback_class").isNotNull()).withColumn("refined_queue", F.col("feedback_class"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ticketloom import constants as K
 from ticketloom.functions import text
-from ticketloom.operators.skew import lookup_join, skew_join
+from ticketloom.operators.skew import is_small, lookup_join, skew_join
 from ticketloom.session import cut_lineage
 
 CACHE_KEYS = ["text_hash", "model_name"]
@@ -39,9 +39,17 @@ def distinct_texts(texts: DataFrame, col: str = "text") -> DataFrame:
 
 
 def cache_misses(texts: DataFrame, cache: DataFrame, model: str, col: str = "text") -> DataFrame:
-    """Distinct texts that have no stored vector for this model."""
-    stored = cache.where((F.col("model_name") == model) & F.col("embedding").isNotNull())
-    return distinct_texts(texts, col).join(stored, "text_hash", "left_anti")
+    """Distinct texts that have no stored vector for this model.
+
+    Hashes are compared first; texts are fetched for the missing ones only, without a shuffle of the texts
+    where these are few.
+    """
+    stored = cache.where((F.col("model_name") == model) & F.col("embedding").isNotNull()).select("text_hash")
+    hashes = texts.select(text.text_hash(F.col(col)).alias("text_hash")).where("text_hash IS NOT NULL").distinct()
+    missing = cut_lineage(hashes.join(stored, "text_hash", "left_anti"))
+    side = F.broadcast(missing) if is_small(missing) else missing
+    hashed = texts.select(text.text_hash(F.col(col)).alias("text_hash"), F.col(col).alias("text"))
+    return hashed.join(side, "text_hash", "left_semi").dropDuplicates(["text_hash"])
 
 
 def feedback_to_log(log: DataFrame, feedback: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ticketloom.functions import vectors
 from ticketloom.operators.aggregates import balanced_weights
 from ticketloom.operators.joins import attach_class_weight
-from ticketloom.operators.metrics import accuracy, classification_report
+from ticketloom.operators.metrics import classification_report
 from ticketloom.operators.ordering import hash_fraction
 
 # The space hyper-parameters are drawn from.
@@ -54,8 +54,8 @@ def class_index(df: DataFrame, col: str) -> DataFrame:
 def estimator(kind: str = "forest", weighted: bool = False, **params):
     """A Spark classifier for the given parameters, by the names of the search space.
 
-    'forest' and 'logistic' are multiclass and give probabilities; 'boosted' is one-vs-rest over
-    boosted trees and gives none.
+    'forest' and 'logistic' are multiclass; 'boosted' is one-vs-rest over boosted trees, whose scores
+    ``predict`` turns into probabilities.
     """
     weight = {"weightCol": "weight"} if weighted else {}
     depth = int(params.get("max_depth", 6))
@@ -98,19 +98,29 @@ def train_classifier(
 
 
 def predict(model: PipelineModel, df: DataFrame, target: str) -> DataFrame:
-    """Adds ``predicted_<target>`` and, where the model gives probabilities, ``confidence_<target>``."""
-    kept = [F.col(c) for c in df.columns]
-    scored = model.transform(df)
-    predicted = F.col(f"predicted_{target}")
-    if "probability" not in scored.columns:
-        return scored.select(*kept, predicted, F.lit(None).cast("double").alias(f"confidence_{target}"))
-    probabilities = vector_to_array("probability")
-    label = vectors.arg_max_label(probabilities, model.stages[-1].getLabels())
+    """Adds ``predicted_<target>`` and ``confidence_<target>``, the probability of the predicted class."""
+    scored = class_probabilities(model, df, "__p")
+    label = vectors.arg_max_label(F.col("__p"), model.stages[-1].getLabels())
     return scored.select(
-        *kept, label.alias(f"predicted_{target}"), F.array_max(probabilities).alias(f"confidence_{target}")
+        *df.columns, label.alias(f"predicted_{target}"), F.array_max("__p").alias(f"confidence_{target}")
     )
 
 
+def class_probabilities(model: PipelineModel, df: DataFrame, out: str = "probabilities") -> DataFrame:
+    """Adds the probabilities of the model's classes, in the order of its labels.
+
+    Boosted trees score each class against the rest; a margin m stands for odds of exp(2 m), and the
+    classes' shares are made to add up to one.
+    """
+    scored = model.transform(df)
+    if "probability" in scored.columns:
+        return scored.select(*df.columns, vector_to_array("probability").alias(out))
+    share = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
+    total = F.aggregate("__share", F.lit(0.0), lambda s, x: s + x)
+    one = scored.select(*df.columns, share.alias("__share"))
+    return one.select(*df.columns, F.transform("__share", lambda x: x / total).alias(out))
+
+
 def predict_batch(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
     """Scores every target in turn over a table with a ``features`` vector."""
     for target, model in models.items():
@@ -123,10 +133,6 @@ def evaluate(model: PipelineModel, test: DataFrame, target: str) -> DataFrame:
     return classification_report(predict(model, test, target), target, f"predicted_{target}")
 
 
-def accuracy_of(model: PipelineModel, test: DataFrame, target: str) -> DataFrame:
-    return accuracy(predict(model, test, target), target, f"predicted_{target}")
-
-
 def _evaluator() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(metricName="weightedFMeasure", labelCol="label")
 
@@ -144,8 +150,13 @@ def cross_validate(
     return random_search(df, target, [params], k, kind, balanced, seed, id_col, parallelism=1).first()["score"]
 
 
-def draw_params(n: int, seed: int = 42, space: dict = SEARCH_SPACE) -> list[dict]:
-    """``n`` reproducible parameter sets."""
+#: Parameters of the search space that only some kinds of model have.
+ONLY_BOOSTED = {"learning_rate"}
+
+
+def draw_params(n: int, seed: int = 42, space: dict = SEARCH_SPACE, kind: str = "boosted") -> list[dict]:
+    """``n`` reproducible parameter sets, of the parameters that models of this kind use."""
+    space = {name: rule for name, rule in space.items() if kind == "boosted" or name not in ONLY_BOOSTED}
     rng = random.Random(seed)
 
     def one(rule):
@@ -176,7 +187,7 @@ def random_search(
 ) -> DataFrame:
     """(run_id, params, score) for each parameter set, scored by k-fold weighted F1."""
     if isinstance(sets, int):
-        sets = draw_params(sets, seed)
+        sets = draw_params(sets, seed, kind=kind)
     folded = _folded(df, target, k, seed, id_col)
     if balanced:
         folded = attach_class_weight(folded, balanced_weights(df, target), target)
@@ -200,7 +211,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def fit_stages(stages: list, df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=stages).fit(df)

@@ -65,7 +65,10 @@ def hashed_position(
     )
     inner = Window.partitionBy(*keys).orderBy("__hash", id_col)
     ranked = keyed.withColumn("__rn", F.row_number().over(inner))
-    joined = ranked.join(offsets, _same(ranked, offsets, keys))
+    # one row per stratum and bucket: broadcast if few, so that the ranked rows are not shuffled again
+    offsets = cut_lineage(offsets)
+    side = F.broadcast(offsets) if is_small(offsets) else offsets
+    joined = ranked.join(side, _same(ranked, offsets, keys))
     return joined.select(
         *[ranked[c] for c in df.columns],
         (F.col("__rn") + F.col("__offset")).alias(position),
@@ -197,12 +200,16 @@ def grouped_split_points(df: DataFrame, group: str, value: str, buckets: int = B
     return {r[group]: sorted(set(r["points"] or [])) for r in rows}
 
 
-def running_sums(df: DataFrame, group: str, value: str, measures: list[str], buckets: int = BUCKETS) -> DataFrame:
+def running_sums(
+    df: DataFrame, group: str, value: str, measures: list[str], buckets: int | None = None
+) -> DataFrame:
     """Running totals ``cum_<measure>`` by ``value`` within ``group``, plus ``next_value``.
 
     ``df`` has one row per (group, value), and ``group`` few values; ``df`` is read more than once, so
-    hand in a checkpointed table when it is costly.
+    hand in a checkpointed table when it is costly. Each group is cut into as many buckets as the session
+    has shuffle partitions.
     """
+    buckets = buckets or bucket_count(df)
     points = grouped_split_points(df, group, value, buckets)
     if points:
         pairs = [x for g, p in points.items() for x in (F.lit(g), F.array(*[F.lit(float(v)) for v in p]))]

@@ -32,7 +32,6 @@ QUERY_BLOCK = 16384
 DOC_BLOCK = 65536
 PAIR_BLOCK = 1024
 CHUNK = 64
-TASKS_PER_CORE = 4
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -120,12 +119,10 @@ def _with_broadcast_docs(queries: DataFrame, local: pd.DataFrame, kernel, schema
 def _with_broadcast_queries(docs: DataFrame, local: pd.DataFrame, kernel, k, schema) -> DataFrame:
     """Few queries: a task keeps the running best of the documents it reads.
 
-    Each task emits up to k rows per query, so very many small splits are joined into longer tasks.
+    The number of tasks follows the splits of the documents. Each emits up to k rows per query, which the
+    top-k window that follows cuts again inside its tasks before anything is shuffled.
     """
     shared = _shared_blocks(local, "qid", docs.sparkSession)
-    tasks = TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism
-    if k is not None:
-        docs = docs.coalesce(tasks)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ticketloom.session import cut_lineage
 
 MAX_SHARE = 1 / 256
-SALTS = 64
+SALT_ROWS = 1_000_000
+MIN_SALTS = 64
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -25,10 +26,10 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: list[str], max_share: float = MAX_SHARE) -> DataFrame:
-    """Keys holding more than ``max_share`` of the rows: fewer than ``1 / max_share`` of them."""
+    """(keys, rows) of the keys holding more than ``max_share`` of the rows: fewer than ``1 / max_share``."""
     total = df.agg(F.count("*")).scalar()
     counts = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).groupBy(*keys)
-    return counts.agg(F.count("*").alias("__n")).where(F.col("__n") > total * F.lit(max_share)).drop("__n")
+    return counts.agg(F.count("*").alias("__n")).where(F.col("__n") > total * F.lit(max_share))
 
 
 def skew_join(
@@ -37,30 +38,32 @@ def skew_join(
     keys: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
-    salts: int = SALTS,
     max_share: float = MAX_SHARE,
 ) -> DataFrame:
     """Join where ``left`` may be skewed on ``keys``; ``how`` is 'inner', 'left' or 'left_semi'.
 
-    Only rows of hot keys get a salt, taken from ``spread_by`` (columns that differ between copies) so
+    Only rows of hot keys get a salt, one per ``SALT_ROWS`` rows of the key, taken from ``spread_by`` (columns that differ between copies) so
     that a retried task draws the same one. The matching rows of ``right`` are repeated per salt.
     """
-    # bounded: fewer than 1 / max_share rows
-    hot = F.broadcast(hot_keys(left, keys, max_share).withColumn("__hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*(spread_by or [c for c in left.columns if c not in keys])), F.lit(salts))
+    # bounded: fewer than 1 / max_share rows, counted once
+    found = cut_lineage(hot_keys(left, keys, max_share))
+    salts = F.greatest(F.lit(MIN_SALTS), F.ceil(F.col("__n") / SALT_ROWS)).cast("int")
+    hot = F.broadcast(found.withColumn("__salts", salts).drop("__n"))
+    mark = F.xxhash64(*(spread_by or [c for c in left.columns if c not in keys]))
+    spread = F.pmod(mark, F.coalesce("__salts", F.lit(MIN_SALTS)))
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_left = (
         left.join(hot, keys, "left")
-        .withColumn("__salt", F.when(F.col("__hot") | some_null, spread).otherwise(F.lit(0)).cast("int"))
-        .drop("__hot")
+        .withColumn("__salt", F.when(F.col("__salts").isNotNull() | some_null, spread).otherwise(F.lit(0)).cast("int"))
+        .drop("__salts")
     )
     salted_right = (
         right.join(hot, keys, "left")
         .withColumn(
             "__salt",
-            F.explode(F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(salts - 1)).otherwise(F.lit(0)))),
+            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts") - 1, F.lit(0)))),
         )
-        .drop("__hot")
+        .drop("__salts")
     )
     return salted_left.join(salted_right, [*keys, "__salt"], how).drop("__salt")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +65,17 @@ def drift_log_row(result: DataFrame, check_date, report_path: str) -> DataFrame:
     )
 
 
+def append_drift_row(row: DataFrame, path: str) -> None:
+    """Adds the row unless its date is recorded; the table is made by the first one."""
+    try:
+        recorded = row.sparkSession.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        recorded = row.limit(0)
+    feedback.insert_ignore(row, cut_lineage(recorded), ["check_date"], ["drift_share"]).write.mode("append").parquet(path)
+
+
 def training_data(base: DataFrame, log: DataFrame, since, root: str, stamp: str, params: LoopParams) -> DataFrame:
     """Base tickets plus corrections given since ``since``, stored once as a snapshot and read back.
 
@@ -93,7 +105,7 @@ def retrain(features: DataFrame, params: LoopParams, run_id: str, dataset: str)
     tuning = sampling.stratified_sample(train, ["refined_queue", "urgency_level"], params.tuning_rows, params.seed)
     tuning = cut_lineage(tuning)
     fitted, scores, chosen = {}, {}, {}
-    sets = models.draw_params(params.trials, params.seed, params.space)
+    sets = models.draw_params(params.trials, params.seed, params.space, params.kind)
     for target, balanced in (("refined_queue", False), ("urgency_level", True)):
         trials = models.random_search(tuning, target, sets, params.folds, params.kind, balanced, params.seed)
         best = aggregates.best_run(trials, "score", ["params"]).first()["params"]
@@ -124,14 +136,18 @@ def base_and_since(enriched: DataFrame, root: str, since) -> tuple[DataFrame, st
 
 def monitor_and_retrain(
     enriched: DataFrame, log: DataFrame, cache: DataFrame, encoder, now, since, root: str, stamp: str,
-    params: LoopParams, model_root: str | None = None,
+    params: LoopParams, model_root: str | None = None, cache_path: str | None = None, drift_log: str | None = None,
 ) -> DataFrame:
     """One pass of the loop; the record says 'stable' or 'skip' when nothing had to be trained.
 
     ``root`` holds the dataset snapshots; ``since`` counts only while there is none. Models that pass
-    the gate are saved below ``model_root``.
+    the gate are saved below ``model_root``. New embeddings are appended to the cache table at
+    ``cache_path``, so that a later run does not encode them again, and each check leaves a row in the table
+    at ``drift_log``, one per date.
     """
     result = cut_lineage(check_drift(enriched, log, now, params))
+    if drift_log:
+        append_drift_row(drift_log_row(result, now, f"{root}/snapshot={stamp}"), drift_log)
     decision = result.first()["decision"]
     if decision != "retrain":
         empty = "struct<f1_queue:double,f1_urgency:double>"
@@ -145,7 +161,9 @@ def monitor_and_retrain(
         )
     base, since = base_and_since(enriched, root, since)
     data = training_data(base, log, since, root, stamp, params)
-    features, _ = embedded_features(data, cache, encoder, now)
+    features, additions = embedded_features(data, cache, encoder, now)
+    if cache_path:
+        additions.write.mode("append").parquet(cache_path)
     record, fitted = retrain(features, params, stamp, f"snapshot={stamp}")
     record = cut_lineage(record)
     if model_root and record.first()["status"] == "success":

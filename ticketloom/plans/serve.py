@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom import constants as K
@@ -18,6 +18,11 @@ def request_features(requests: DataFrame, encoder, keywords: dict = K.KEYWORDS,
     return textvec.assemble(embedded.withColumns(named), "embedding").drop(*K.NUMERIC_FEATURES)
 
 
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """The requests that ``predict_requests`` leaves out: blank or too long."""
+    return projections.validate_text(requests, "user_query").where(~F.coalesce("valid", F.lit(False))).drop("valid", "query_text")
+
+
 def predict_requests(requests: DataFrame, encoder, classifiers: dict, keywords: dict = K.KEYWORDS) -> DataFrame:
     """Valid requests with predicted queue and urgency; ``classifiers`` maps target to model."""
     valid = projections.validate_text(requests, "user_query").where("valid").drop("valid")
@@ -52,10 +57,16 @@ def prompts(predicted: DataFrame, contexts: DataFrame, queue: str = "refined_que
     return joined.withColumn("messages", dialog.build_messages(F.col("history"), message))
 
 
-def log_rows(predicted: DataFrame, created_at, queue: str = "refined_queue", urgency: str = "urgency_level") -> DataFrame:
-    """Rows for the prediction log; corrections are still empty."""
+def log_rows(
+    predicted: DataFrame, created_at, queue: str = "refined_queue", urgency: str = "urgency_level",
+    ids: Column | None = None,
+) -> DataFrame:
+    """Rows for the prediction log; corrections are still empty.
+
+    ``ids`` are the requests' own, by which corrections find their rows; ``append_log`` draws ids otherwise.
+    """
     return predicted.select(
-        F.lit(None).cast("bigint").alias("id"),
+        (F.lit(None) if ids is None else ids).cast("bigint").alias("id"),
         F.col("query_text").alias("input_text"),
         F.col(f"predicted_{queue}").alias("predicted_queue"),
         F.col(f"predicted_{urgency}").alias("predicted_urgency"),

@@ -23,7 +23,10 @@ def build_session(app: str = "ticketloom", master: str | None = None, **conf) ->
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-    }
+        # state of streams on disk, not on the executors' heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:
