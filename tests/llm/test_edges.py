@@ -209,7 +209,8 @@ def test_near_passage_with_edits(spark):
     a = " ".join([*(f"a{i}" for i in range(80)), *words])
     b = " ".join([*(f"b{i}" for i in range(33)), *edited, *(f"c{i}" for i in range(40))])
     rows = passages.near_passages(frame(spark, [(1, a), (2, b)])).collect()
-    assert [(r.similarity >= 0.9, {r.words, r.other_words}) for r in rows] == [(True, {120})]
+    assert {(r.doc_id, r.other_id) for r in rows} == {(1, 2), (2, 1)}
+    assert all(r.similarity >= 0.9 and {r.words, r.other_words} == {120} for r in rows)
 
 
 def test_compact_windows():
