@@ -298,6 +298,10 @@ def context_of(hits: DataFrame, queries: DataFrame, content: str = "content") ->
     return joined.select("qid", F.coalesce("context", F.lit(K.NO_CONTEXT)).alias("context"))
 
 
+MAX_LISTS = 65_536
+ROWS_PER_CENTRE = 256
+
+
 @dataclass
 class AnnIndex:
     """Documents with their inverted list, and the list centres (lists x dimensions numbers)."""
@@ -313,13 +317,18 @@ def _unit_vector(df: DataFrame) -> DataFrame:
 
 
 def ann_index(
-    docs: DataFrame, lists: int = 100, seed: int = 42, iterations: int = 20, train_share: float = 1.0
+    docs: DataFrame, lists: int | None = None, seed: int = 42, iterations: int = 20, train_share: float | None = None
 ) -> AnnIndex:
     """Inverted lists by k-means on the unit sphere; the assigned documents are stored once.
 
-    Centres may be learnt from a ``train_share`` of the documents; all documents are indexed.
+    The number of lists is the square root of the number of documents, up to ``MAX_LISTS``. Centres are
+    learnt from about ``ROWS_PER_CENTRE`` documents each, unless a share is given; all documents are indexed.
     """
     prepared = _unit_vector(docs)
+    total = docs.count()
+    lists = lists or max(2, min(MAX_LISTS, round(total**0.5)))
+    if train_share is None:
+        train_share = ROWS_PER_CENTRE * lists / max(1, total)
     sample = prepared if train_share >= 1.0 else prepared.where(hash_fraction("doc_id", seed) < train_share)
     kmeans = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="__unit", predictionCol="list_id")
     model = kmeans.fit(sample.select("__unit"))

@@ -38,19 +38,20 @@ def skew_join(
     keys: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
+    salts: int = MIN_SALTS,
     max_share: float = MAX_SHARE,
 ) -> DataFrame:
     """Join where ``left`` may be skewed on ``keys``; ``how`` is 'inner', 'left' or 'left_semi'.
 
-    Only rows of hot keys get a salt, one per ``SALT_ROWS`` rows of the key, taken from ``spread_by`` (columns that differ between copies) so
+    Only rows of hot keys get a salt, one per ``SALT_ROWS`` rows of the key but ``salts`` at least, taken from ``spread_by`` (columns that differ between copies) so
     that a retried task draws the same one. The matching rows of ``right`` are repeated per salt.
     """
     # bounded: fewer than 1 / max_share rows, counted once
     found = cut_lineage(hot_keys(left, keys, max_share))
-    salts = F.greatest(F.lit(MIN_SALTS), F.ceil(F.col("__n") / SALT_ROWS)).cast("int")
-    hot = F.broadcast(found.withColumn("__salts", salts).drop("__n"))
+    wanted = F.greatest(F.lit(salts), F.ceil(F.col("__n") / SALT_ROWS)).cast("int")
+    hot = F.broadcast(found.withColumn("__salts", wanted).drop("__n"))
     mark = F.xxhash64(*(spread_by or [c for c in left.columns if c not in keys]))
-    spread = F.pmod(mark, F.coalesce("__salts", F.lit(MIN_SALTS)))
+    spread = F.pmod(mark, F.coalesce("__salts", F.lit(salts)))
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_left = (
         left.join(hot, keys, "left")
