@@ -37,7 +37,7 @@ RATE = 1.0
 #: Labelled rows the model is fitted on, at most; taken in the order of a hash of their id.
 MAX_ROWS = 4_000
 THRESHOLD = 0.3
-_BATCH = 5_000
+_BATCH = 1_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
