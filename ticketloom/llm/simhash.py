@@ -201,7 +201,8 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
     found = _near_duplicates(keyed.select("row_key", "row.doc_id", "row.text"), shingle, distance)
     found = stored(found.select("row_key", "doc_id", "root"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")
-    kept = found.groupBy("root").agg(first).select("root", F.col("first.row_key").alias("kept"))
+    # stored, so that Spark shuffles both sides of the join and can split the rows of a large group
+    kept = stored(found.groupBy("root").agg(first).select("root", F.col("first.row_key").alias("kept")))
     gone = found.join(kept, "root").where("row_key <> kept").select("row_key")
     return keyed.join(gone, "row_key", "left_anti").select("row.*")
 
