@@ -31,7 +31,7 @@ from ticketloom.llm.words import MAX, grams, minimisers, mix, words_of
 
 LEAST = 50
 ANCHOR = 25
-_BATCH = 2_000
+_BATCH = 1_000
 
 
 def keyed_texts(docs: DataFrame) -> DataFrame:
@@ -112,6 +112,11 @@ def _runs(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """(gram, lo, hi): the least and the greatest text of each gram that several have."""
+    return rows.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, start, words, other_id): maximal passages of at least ``least`` words found in another document.
 
@@ -123,12 +128,14 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR)
         source.select("key", "text").mapInArrow(lambda it: _anchors(least, anchor, it), "key long, place int, gram long")
     )
     suffixes = anchors.where(F.col("gram").isNotNull())
-    met = suffixes.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
-    places = suffixes.join(met.select("gram"), "gram").groupBy("key").agg(F.collect_set("place").alias("places"))
+    # both tables of shared grams are stored, so that the joins with them have two shuffles of their own and
+    # Spark can split the rows of a frequent gram
+    met = stored(_shared(suffixes).select("gram"))
+    places = suffixes.join(met, "gram").groupBy("key").agg(F.collect_set("place").alias("places"))
     passages = stored(
         texts_at(source, places).mapInArrow(lambda it: _passages(least, anchor, it), "key long, start int, gram long")
     )
-    classes = passages.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
+    classes = stored(_shared(passages))
     other = F.when(F.col("lo") == F.col("key"), F.col("hi")).otherwise(F.col("lo")).alias("other")
     matched = passages.join(classes, "gram").groupBy("key", other).agg(F.collect_list("start").alias("starts"))
     grouped = matched.groupBy("key").agg(F.collect_list(F.struct("other", "starts")).alias("groups"))
