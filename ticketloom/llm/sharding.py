@@ -116,7 +116,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     )
     rows = stored(with_row_key(narrow))
     sharded = stored(propagate(rows, shards, rounds))
-    return numbered(sharded, ["shard"], ["row_key"], "slot").select(
+    # unlinked rows are dealt in the order of a hash of their key; slots need one that is independent of it
+    return numbered(sharded, ["shard"], ["shard", "row_key"], "slot").select(
         "doc_id",
         "size",
         "text_crc32",
