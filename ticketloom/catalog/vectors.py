@@ -284,7 +284,7 @@ def evaluate_supports(spark, sf):
 @query(
     "search_folds",
     "M10 M11",
-    """WITH f AS (SELECT CAST(floor(CAST(('0x' || substring(sha256('42-' || doc_id), 1, 8)) AS BIGINT) / 4294967296e0 * 2)
+    """WITH f AS (SELECT CAST(floor(CAST(('0x' || substring(sha256('fold-42-' || doc_id), 1, 8)) AS BIGINT) / 4294967296e0 * 2)
          AS INTEGER) AS fold, count(*) AS n_rows FROM documents GROUP BY 1)
        SELECT run_id, fold, n_rows, true AS measured FROM f, (VALUES ('run-000'), ('run-001')) AS r(run_id)""",
 )

@@ -138,7 +138,8 @@ def _evaluator() -> MulticlassClassificationEvaluator:
 
 
 def _folded(df: DataFrame, target: str, k: int, seed: int, id_col: str) -> DataFrame:
-    fold = F.floor(hash_fraction(id_col, seed) * k).cast("int")
+    # not the hash by which samples are drawn: those hold the rows with the smallest ones
+    fold = F.floor(hash_fraction(id_col, f"fold-{seed}") * k).cast("int")
     return encode_label(df.where(F.col(target).isNotNull()), target).withColumn("fold", fold)
 
 
