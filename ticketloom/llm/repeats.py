@@ -1,10 +1,10 @@
-"""Exact repeated passages across documents, by a sparse suffix array.
+"""Exact repeated passages across documents, by hash classes at sparse places.
 
 Of all suffixes only those at content-selected places are kept: a place is a minimiser if its run of
 ``ANCHOR`` words has the least hash among some ``least - ANCHOR + 1`` consecutive runs. Equal passages select
 equal places, and every passage of ``least`` words has one, so every repeated passage meets at a suffix that
-starts with the same ``ANCHOR`` words. The shuffle sorts suffixes by these words; only suffixes with a
-neighbour from another document go on. Neighbours are then compared left and right of the common words,
+starts with the same ``ANCHOR`` words. Suffixes are grouped by a hash of these words, not sorted; only
+those that another document has too go on. They are then compared left and right of the common words,
 as classes and not pair by pair: each passage of ``least`` words round the place is hashed, equal hashes of
 different texts are a match, and runs of matching passages join into the maximal match. So a passage that a
 third of all documents share costs each of them its own words and no pairs. Equal texts are one suffix
