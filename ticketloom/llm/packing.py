@@ -4,10 +4,10 @@ A document is its token ids and one end id. Whole windows are cut off its front
 left, its tail, is packed with other tails: tails are dealt into groups, and each group is divided into
 windows by the largest differencing method (Karmarkar and Karp): every tail starts as a partition with one
 loaded window, and the two partitions with the largest imbalance are merged again and again, heavy windows
-onto light ones, which leaves windows of nearly equal load. If a window exceeds the capacity, the number of
-windows rises as long as that costs at most ``max_padding`` of the capacity; what exceeds it then is cut
-off and poured into windows with room, the emptiest windows are dissolved into the room of the others, and
-the last, partly filled one is cut into powers of two, as sequences of such lengths are not padded.
+onto light ones, which leaves windows of nearly equal load. While a window exceeds the capacity, the number
+of windows rises, so in the end every tail lies whole in a window. Only then is the padding taken out: the
+emptiest windows are dissolved and poured into the room of the others, where tails may be cut, and the last,
+partly filled one is cut into powers of two, as sequences of such lengths are not padded.
 
 Tasks hold one group of tails, some hundred documents, at a time.
 
@@ -19,29 +19,22 @@ other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from ticketloom.llm.common import buckets_for, stored, table, worker_state
+from ticketloom.llm.common import buckets_for, stored, table
 from ticketloom.llm.registry import query
+from ticketloom.llm.tokens import TOKENIZER, encoder, slices
 
 CAPACITY = 2048
 END_ID = 1
-TOKENIZER = "byte_bpe_50k.json"
 GROUP = 512
-MAX_PADDING = 0.002
-#: Distinct stretches whose ids a worker keeps; the cache starts anew when it is full.
-CACHED = 1_000_000
-#: Rows whose texts are tokenised together.
-BATCH = 1_500
 
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -50,117 +43,15 @@ _PIECES = (
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class Encoder:
-    """Token ids of whole texts, from the ids of the stretches between spaces and line feeds.
-
-    A byte-level vocabulary of this kind never lets a token reach from a visible character over the white
-    space behind it, so a text may be cut before every run of spaces and line feeds. Each distinct stretch
-    is tokenised once and kept. Texts with other white space or markup of special tokens go through the
-    tokenizer as a whole.
-    """
-
-    WHOLE = (
-        r"<\||[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-    )
-
-    def __init__(self, name: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(name if os.sep in name else public_tokenizers.path(name))
-        # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.letters = {b: b for b in plain} | {b: 256 + n for n, b in enumerate(x for x in range(256) if x not in plain)}
-        self.marks = {c: self._whole([c])[0] for c in ",.\n"}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.terms = pa.array([], pa.string())
-        self.starts = np.zeros(1, dtype=np.int64)
-        self.ids = np.zeros(0, dtype="<u4")
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _word(self, word: str) -> list[int]:
-        """Ids of letters with at most one space before them: one unit of the byte-level model."""
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-
-    def _learn(self, stretches: list[str]) -> None:
-        found: list[list[int] | None] = []
-        other = []
-        for s in stretches:
-            end = s[-1:] if s[-1:] in (",", ".") else ""
-            body = s[: len(s) - len(end)]
-            if (body[1:] if body[:1] in (" ", "\n") else body).isalpha():
-                ids = self.marks["\n"] + self._word(body[1:]) if body[0] == "\n" else self._word(body)
-                found.append(ids + self.marks[end] if end else ids)
-            else:
-                found.append(None)
-                other.append(s)
-        rest = iter(self._whole(other))
-        found = [next(rest) if x is None else x for x in found]
-        self.terms = pa.concat_arrays([self.terms, pa.array(stretches, pa.string())])
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), dtype="<u4", count=lengths.sum())])
-
-    def __call__(self, texts: pa.Array) -> list[bytes]:
-        """Unsigned little-endian 32-bit ids of each text."""
-        apart = pc.match_substring_regex(texts, self.WHOLE).to_numpy(zero_copy_only=False)
-        out: list[bytes] = [b""] * len(texts)
-        rows = np.flatnonzero(apart)
-        for row, ids in zip(rows.tolist(), self._whole(texts.take(pa.array(rows)).to_pylist())):
-            out[row] = np.array(ids, dtype="<u4").tobytes()
-        rows = np.flatnonzero(~apart)
-        texts = texts.take(pa.array(rows))
-        if pc.any(pc.match_substring_regex(texts, r"[ \n][ \n]")).as_py():
-            cut = pc.replace_substring_regex(texts, r"([^ \n])([ \n])", "\\1\x00\\2")
-        else:
-            cut = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
-        lists = pc.split_pattern(cut, "\x00")
-        words = lists.flatten()
-        at = pc.index_in(words, value_set=self.terms)
-        if at.null_count:
-            new = words.filter(at.is_null()).unique()
-            if len(self.terms) + len(new) > CACHED:
-                self._forget()
-                new = words.unique()
-                at = pa.nulls(len(words), pa.int32())
-            before = len(self.terms)
-            self._learn(new.to_pylist())
-            unknown = at.is_null()
-            late = pc.add(pc.index_in(words.filter(unknown), value_set=new), pa.scalar(before, pa.int32()))
-            at = pc.replace_with_mask(at, unknown, late)
-        at = at.to_numpy()
-        lengths = np.diff(self.starts)[at]
-        ends = np.cumsum(lengths)
-        flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + lengths, lengths)]
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        bounds = np.concatenate([[0], ends])[offsets].tolist()
-        for k, row in enumerate(rows.tolist()):
-            out[row] = flat[bounds[k] : bounds[k + 1]].tobytes()
-        return out
-
-
-def _encoder(name: str) -> Encoder:
-    state = worker_state()
-    if name not in state:
-        state[name] = Encoder(name)
-    return state[name]
-
-
 def _tokenised(name: str, capacity: int, end: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per whole window, placed, and one per tail with its ids, not placed yet."""
-    encode = _encoder(name)
+    encode = encoder(name)
     key = TaskContext.get().partitionId() << 33
     width = 4 * capacity
     for batch in batches:
-        for lo in range(0, batch.num_rows, BATCH):
-            part = batch.slice(lo, BATCH)
+        for part in slices(batch, "text"):
             columns: list[list] = [[] for _ in range(9)]
-            for doc, ids in zip(part.column("doc_id").to_pylist(), encode(pc.fill_null(part.column("text"), ""))):
+            for doc, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text"))):
                 ids += end
                 total = len(ids) // 4
                 for at in range(0, len(ids), width):
@@ -212,26 +103,22 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
     return out + [[] for _ in range(k - len(out))]
 
 
-def pack(sizes: list[int], capacity: int = CAPACITY, max_padding: float = MAX_PADDING) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (item, start in the item, length), none longer than ``capacity``; each item is covered once."""
-    total = sum(sizes)
-    least = k = max(1, -(-total // capacity))
-    sets = difference(sizes, k)
-    load = lambda s: sum(sizes[i] for i in s)
-    while max(map(load, sets), default=0) > capacity and (k + 1 - least) <= max_padding * least:
-        k += 1
+def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int, int]]]:
+    """Sequences of (item, start in the item, length), none longer than ``capacity``; each item is covered once.
+
+    No item may be longer than ``capacity``.
+    """
+    k = max(1, -(-sum(sizes) // capacity))
+    while True:
         sets = difference(sizes, k)
+        over = sum(1 for s in sets if sum(sizes[i] for i in s) > capacity)
+        if not over:
+            break
+        k += max(1, over // 4)
     windows, rest = [], []
     for members in sets:
-        room, pieces = capacity, []
-        for i in sorted(members, key=lambda i: sizes[i]):
-            fits = min(room, sizes[i])
-            if fits:
-                pieces.append((i, 0, fits))
-            if fits < sizes[i]:
-                rest.append((i, fits, sizes[i] - fits))
-            room -= fits
-        windows.append((room, pieces))
+        pieces = [(i, 0, sizes[i]) for i in sorted(members, key=lambda i: sizes[i])]
+        windows.append((capacity - sum(p[2] for p in pieces), pieces))
     windows.sort(key=lambda w: w[0])
     # the emptiest windows are dissolved into the room of the others, until only they have room
     while len(windows) > 1 and windows[-1][0] and sum(p[2] for p in rest) < sum(w[0] for w in windows[:-1]):
@@ -277,10 +164,10 @@ def _powers(pieces: list[tuple[int, int, int]], used: int) -> list[list[tuple[in
     return out
 
 
-def _packed_group(capacity: int, max_padding: float, group: pa.Table) -> pa.Table:
+def _packed_group(capacity: int, group: pa.Table) -> pa.Table:
     rows = group.select(["doc_id", "start", "length", "doc_tokens", "row_key", "ids", "__group"]).sort_by("row_key").to_pylist()
     columns: list[list] = [[] for _ in range(7)]
-    for n, pieces in enumerate(pack([r["length"] for r in rows], capacity, max_padding)):
+    for n, pieces in enumerate(pack([r["length"] for r in rows], capacity)):
         offset = 0
         for i, start, length in pieces:
             r = rows[i]
@@ -298,7 +185,6 @@ def pack_documents(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     group: int = GROUP,
-    max_padding: float = MAX_PADDING,
 ) -> DataFrame:
     """A row per piece: document, place in it, CRC-32 of its ids, sequence and offset there."""
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -307,7 +193,7 @@ def pack_documents(
     tails = pieces.where(F.col("sequence_id").isNull())
     groups = buckets_for(tails.count(), group)
     dealt = tails.withColumn("__group", F.pmod(F.xxhash64("row_key"), F.lit(groups)))
-    packed = dealt.groupBy("__group").applyInArrow(lambda t: _packed_group(capacity, max_padding, t), _PACKED)
+    packed = dealt.groupBy("__group").applyInArrow(lambda t: _packed_group(capacity, t), _PACKED)
     whole = pieces.where(F.col("sequence_id").isNotNull()).select(*[x.split()[0] for x in _PACKED.split(", ")])
     return whole.unionByName(packed)
 

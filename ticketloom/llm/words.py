@@ -41,7 +41,7 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
 
 
-def _hashed(strings: pa.Array) -> np.ndarray:
+def hashes_of(strings: pa.Array) -> np.ndarray:
     """64-bit hashes of non-empty strings, from their bytes and places."""
     strings = strings.cast(pa.large_string())
     ends = np.frombuffer(strings.buffers()[1], dtype=np.int64)[strings.offset : strings.offset + len(strings) + 1]
@@ -61,7 +61,7 @@ def words_of(texts: pa.Array) -> Words:
     blank = pc.equal(texts, "").to_numpy(zero_copy_only=False)
     dictionary = coded.dictionary
     filled = pc.if_else(pc.equal(dictionary, ""), "\x00", dictionary)
-    hashes = _hashed(filled)[coded.indices.to_numpy()] if len(coded) else np.zeros(0, dtype=np.uint64)
+    hashes = hashes_of(filled)[coded.indices.to_numpy()] if len(coded) else np.zeros(0, dtype=np.uint64)
     hashes = hashes[np.repeat(~blank, size)]
     size = np.where(blank, 0, size)
     return Words(hashes, np.concatenate([[0], np.cumsum(size)]))
