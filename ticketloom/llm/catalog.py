@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ticketloom.llm.registry import QUERIES, SQL, Run
 
-MODULES = ["packing", "simhash", "quality", "decontaminate", "secrets", "sharding", "topk", "chat", "repeats", "passages"]
+MODULES = ["packing", "simhash", "quality", "decontaminate", "secrets", "sharding", "topk", "chat", "repeats", "passages", "frames", "infill", "prefix_trie"]
 
 
 def load() -> tuple[dict[str, Run], dict[str, str]]:
