@@ -51,12 +51,8 @@ class Known:
         self.starts = np.zeros(1, dtype=np.int64)
         self.ids = np.zeros(0, dtype="<u4")
         self.used = np.zeros(0, dtype=np.int32)
-        self._sort(np.zeros(0, dtype=np.uint64))
-
-    def _sort(self, hashes: np.ndarray) -> None:
-        self.hashes = hashes
-        self.order = np.argsort(hashes, kind="stable").astype(np.int32)
-        self.ranked = hashes[self.order]
+        self.ranked = np.zeros(0, dtype=np.uint64)  # hashes in order, and the entry of each
+        self.order = np.zeros(0, dtype=np.int32)
 
     def find(self, keys: pa.Array, hashes: np.ndarray) -> np.ndarray:
         """The entry of each key, or -1."""
@@ -73,21 +69,123 @@ class Known:
         self.keys = pa.concat_arrays([self.keys, keys])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.ids = np.concatenate([self.ids, ids])
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.ranked, hashes[order])
+        self.ranked = np.insert(self.ranked, at, hashes[order])
+        self.order = np.insert(self.order, at, (order + len(self.used)).astype(np.int32))
+        self.used = np.concatenate([self.used, np.full(len(keys), self.clock, dtype=np.int32)])
+
+    def shrink(self) -> None:
+        """Drops the entries used least lately, if there are more than the limit."""
+        n = len(self.used)
+        if n <= self.limit:
+            return
+        keep = np.zeros(n, dtype=bool)
+        keep[np.argsort(-self.used, kind="stable")[: self.limit // 2]] = True
+        kept = np.flatnonzero(keep)
+        lengths = np.diff(self.starts)[kept]
+        self.ids = self.ids[spans(self.starts[kept], lengths)]
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        self.keys = self.keys.take(pa.array(kept))
+        self.used = self.used[kept]
+        place = np.cumsum(keep) - 1  # of each kept entry among them
+        ranked = keep[self.order]
+        self.ranked, self.order = self.ranked[ranked], place[self.order[ranked]].astype(np.int32)
+
+
+class Encoder:
+    """Token ids of whole texts, from the ids of the stretches between spaces and line feeds.
+
+    A byte-level vocabulary of this kind never lets a token reach from a visible character over the white
+    space behind it, so a text may be cut before every run of spaces and line feeds. A stretch of letters with
+    one blank before it or one point or comma behind it is the ids of its letters and those of the marks.
+    Distinct letters and other stretches are tokenised once and kept as long as there is room. Texts with other
+    white space or markup of special tokens go through the tokenizer as a whole.
+    """
+
+    WHOLE = (
+        r"<\||[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    )
+
+    def __init__(self, name: str = TOKENIZER, known: int = KNOWN):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(name if os.sep in name else public_tokenizers.path(name))
+        # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: b for b in plain} | {b: 256 + n for n, b in enumerate(x for x in range(256) if x not in plain)}
+        self.line, self.comma, self.point = (self._whole([c])[0][0] for c in "\n,.")
+        # a letter that no longer token holds: words on both sides of it are merged as if they stood alone
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        joined = {letter for token in vocabulary if len(token) > 1 for letter in token}
+        self.apart = next(c for c in map(chr, self.letters.values()) if c in vocabulary and c not in joined)
+        self.apart_id = vocabulary[self.apart]
+        self.spelt = self.letters | {0: ord(self.apart)}
+        self.known = Known(known)
+
+    def _wholes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._whole(texts)
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype="<u4", count=lengths.sum()), lengths
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters with at most one space before them, one after the other, and how many each has."""
+        ids: list[int] = []
+        for lo in range(0, len(words), JOINED):
+            joined = "\x00".join(words[lo : lo + JOINED]).encode().decode("latin-1").translate(self.spelt)
+            ids += [t.id for t in self.tokenizer.model.tokenize(joined)]
+            ids.append(self.apart_id)
+        found = np.array(ids, dtype="<u4")
+        end = found == self.apart_id
+        at = np.flatnonzero(end)
+        return found[~end], np.diff(at, prepend=-1) - 1
+
+    def _entries(self, keys: pa.Array) -> np.ndarray:
+        """The place of each distinct key among the known ones; new ones are tokenised."""
+        hashes = hashes_of(keys)
+        entry = self.known.find(keys, hashes)
+        new = entry < 0
+        letters = pc.match_substring_regex(keys, f"^ ?{_LETTERS}$").to_numpy(zero_copy_only=False)
+        rows = np.concatenate([np.flatnonzero(new & letters), np.flatnonzero(new & ~letters)])
+        if len(rows):
+            strings = keys.take(pa.array(rows))
+            words = int((new & letters).sum())
+            found = (self._words(strings[:words].to_pylist()), self._wholes(strings[words:].to_pylist()))
+            entry[rows] = len(self.known.used) + np.arange(len(rows))
+            self.known.add(strings, hashes[rows], *(np.concatenate(x) for x in zip(*found)))
+        return entry
+
+    def add(self, keys: pa.Array, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.keys = pa.concat_arrays([self.keys, keys])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.ranked, hashes[order])
+        self.ranked = np.insert(self.ranked, at, hashes[order])
+        self.order = np.insert(self.order, at, (order + len(self.used)).astype(np.int32))
         self.used = np.concatenate([self.used, np.full(len(keys), self.clock, dtype=np.int32)])
-        self._sort(np.concatenate([self.hashes, hashes]))
 
     def shrink(self) -> None:
         """Drops the entries used least lately, if there are more than the limit."""
         n = len(self.used)
         if n <= self.limit:
             return
-        kept = np.sort(np.argsort(-self.used, kind="stable")[: self.limit // 2])
+        keep = np.zeros(n, dtype=bool)
+        keep[np.argsort(-self.used, kind="stable")[: self.limit // 2]] = True
+        kept = np.flatnonzero(keep)
         lengths = np.diff(self.starts)[kept]
         self.ids = self.ids[spans(self.starts[kept], lengths)]
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
         self.keys = self.keys.take(pa.array(kept))
         self.used = self.used[kept]
-        self._sort(self.hashes[kept])
+        place = np.cumsum(keep) - 1  # of each kept entry among them
+        ranked = keep[self.order]
+        self.ranked, self.order = self.ranked[ranked], place[self.order[ranked]].astype(np.int32)
 
 
 class Encoder:
