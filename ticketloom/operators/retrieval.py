@@ -300,54 +300,164 @@ def context_of(hits: DataFrame, queries: DataFrame, content: str = "content") ->
 
 MAX_LISTS = 65_536
 ROWS_PER_CENTRE = 256
+#: Share of the true hits that the fitted number of lists has to hold, and the most queries it is fitted on.
+RECALL, FIT_QUERIES = 0.95, 512
+#: Added to angles, which near 0 are known to some 1e-8 only.
+SLACK = 1e-6
 
 
 @dataclass
 class AnnIndex:
-    """Documents with their inverted list, and the list centres (lists x dimensions numbers)."""
+    """Documents with their inverted list, and what is known of the lists.
+
+    ``centers`` are unit vectors, ``radii`` the largest angle between a centre and a document of its list (below
+    zero for an empty list). ``nprobe`` lists held the share ``recall`` of the exact hits of a bounded sample.
+    """
 
     docs: DataFrame
     centers: np.ndarray
+    radii: np.ndarray
+    nprobe: int
+    recall: float
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(m, axis=1)[:, None]
+    return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
+
+
+def _present(df: DataFrame) -> DataFrame:
+    return df.where(F.col("embedding").isNotNull() & (vectors.norm(F.col("embedding")) > 0))
+
+
+def _with_list(docs: DataFrame, centers: np.ndarray) -> DataFrame:
+    """Adds the list with the nearest centre and the angle to it."""
+    shared = docs.sparkSession.sparkContext.broadcast(centers)
 
+    @F.pandas_udf("list_id int, angle double")
+    def nearest(v: pd.Series) -> pd.DataFrame:
+        cosine = _matrix(v) @ shared.value.T
+        best = cosine.argmax(axis=1)
+        angle = np.arccos(np.clip(cosine[np.arange(len(best)), best], -1.0, 1.0))
+        return pd.DataFrame({"list_id": best.astype("int32"), "angle": angle})
 
-def _unit_vector(df: DataFrame) -> DataFrame:
-    present = df.where(F.col("embedding").isNotNull() & (vectors.norm(F.col("embedding")) > 0))
-    dense = present.withColumn("__vector", array_to_vector("embedding"))
-    return Normalizer(p=2.0, inputCol="__vector", outputCol="__unit").transform(dense).drop("__vector")
+    placed = docs.withColumn("__near", nearest("embedding"))
+    return placed.withColumns({"list_id": F.col("__near.list_id"), "__angle": F.col("__near.angle")}).drop("__near")
+
+
+def _probes(docs: DataFrame, centers: np.ndarray, k: int, target: float, seed: int, queries: DataFrame | None):
+    """The least number of lists that holds the share ``target`` of the exact hits of some queries, and that share.
+
+    Without queries, documents stand in for them; they are not hits of their own. At most ``FIT_QUERIES`` vectors
+    and ``k`` hits of each reach the driver.
+    """
+    own = queries is None
+    asked = docs.select(F.col("doc_id").alias("qid"), "embedding") if own else _present(queries.select("qid", "embedding"))
+    asked = cut_lineage(asked.orderBy(F.xxhash64("qid", F.lit(seed))).limit(FIT_QUERIES))
+    hits = retrieve(asked, docs, k + own)
+    if own:
+        hits = top_k_per_query(hits.where(F.col("qid") != F.col("doc_id")).drop("rank"), k)
+    held = hits.select("qid", "doc_id").join(docs.select("doc_id", "list_id"), "doc_id").select("qid", "list_id").toPandas()
+    if held.empty:
+        return len(centers), 1.0
+    local = asked.toPandas()
+    place = np.argsort(np.argsort(-(_matrix(local["embedding"]) @ centers.T), axis=1), axis=1)
+    row = pd.Series(np.arange(len(local)), index=local["qid"].to_numpy())[held["qid"].to_numpy()].to_numpy()
+    needed = np.sort(place[row, held["list_id"].to_numpy()] + 1)
+    probes = int(needed[max(0, int(np.ceil(target * len(needed))) - 1)])
+    return probes, float((needed <= probes).mean())
 
 
 def ann_index(
-    docs: DataFrame, lists: int | None = None, seed: int = 42, iterations: int = 20, train_share: float | None = None
+    docs: DataFrame,
+    lists: int | None = None,
+    seed: int = 42,
+    iterations: int = 20,
+    train_share: float | None = None,
+    k: int = K.TOP_K,
+    recall: float = RECALL,
+    queries: DataFrame | None = None,
 ) -> AnnIndex:
     """Inverted lists by k-means on the unit sphere; the assigned documents are stored once.
 
     The number of lists is the square root of the number of documents, up to ``MAX_LISTS``. Centres are
-    learnt from about ``ROWS_PER_CENTRE`` documents each, unless a share is given; all documents are indexed.
+    learnt from about ``ROWS_PER_CENTRE`` documents each, unless a share is given; all documents are indexed. The
+    number of lists a search probes is fitted: the least that holds the share ``recall`` of the exact ``k`` hits
+    of at most ``FIT_QUERIES`` queries (documents, if no queries are given).
     """
-    prepared = _unit_vector(docs)
+    prepared = _present(docs)
     total = docs.count()
     lists = lists or max(2, min(MAX_LISTS, round(total**0.5)))
     if train_share is None:
         train_share = ROWS_PER_CENTRE * lists / max(1, total)
     sample = prepared if train_share >= 1.0 else prepared.where(hash_fraction("doc_id", seed) < train_share)
-    kmeans = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="__unit", predictionCol="list_id")
-    model = kmeans.fit(sample.select("__unit"))
-    return AnnIndex(cut_lineage(model.transform(prepared).drop("__unit")), np.array(model.clusterCenters()))
+    dense = sample.select(array_to_vector("embedding").alias("__vector"))
+    unit = Normalizer(p=2.0, inputCol="__vector", outputCol="__unit").transform(dense)
+    kmeans = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="__unit", predictionCol="__list")
+    centers = _unit(np.array(kmeans.fit(unit.select("__unit")).clusterCenters()))
+    placed = cut_lineage(_with_list(prepared, centers))
+    radii = np.full(len(centers), -1.0)
+    for r in placed.groupBy("list_id").agg(F.max("__angle").alias("radius")).toLocalIterator():
+        radii[r.list_id] = r.radius
+    stored = placed.drop("__angle")
+    return AnnIndex(stored, centers, radii, *_probes(stored, centers, k, recall, seed, queries))
 
 
-def ann_retrieve(queries: DataFrame, index: AnnIndex, k: int = K.TOP_K, nprobe: int = 10, **kw) -> DataFrame:
-    """Top ``k`` among the documents of the ``nprobe`` lists nearest to each query."""
-    centers = index.centers / np.linalg.norm(index.centers, axis=1)[:, None]
-    probes = min(nprobe, len(centers))
+def _probed(queries: DataFrame, lists: Callable[[np.ndarray, pd.Series], list], reach: str | None = None) -> DataFrame:
+    """Queries, once per list that ``lists`` names for their vectors and the column ``reach``."""
 
     @F.pandas_udf("array<int>")
-    def nearest_lists(v: pd.Series) -> pd.Series:
-        return pd.Series(list(np.argsort(-(_matrix(v) @ centers.T), axis=1)[:, :probes].astype("int32")))
+    def named(v: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series(lists(_matrix(v), r))
 
-    probed = queries.where(F.col("embedding").isNotNull()).select(
-        "qid", "embedding", F.explode(nearest_lists("embedding")).alias("list_id")
-    )
-    return retrieve(probed, index.docs, k, "list_id", **kw)
+    asked = _present(queries)
+    far = F.col(reach) if reach else F.lit(0.0)
+    return asked.select("qid", "embedding", F.explode(named("embedding", far)).alias("list_id"))
+
+
+def ann_retrieve(queries: DataFrame, index: AnnIndex, k: int = K.TOP_K, nprobe: int | None = None, **kw) -> DataFrame:
+    """Top ``k`` among the documents of the lists nearest to each query, as many as the index was fitted to."""
+    probes = min(nprobe or index.nprobe, len(index.centers))
+    shared = queries.sparkSession.sparkContext.broadcast(index.centers)
+
+    def nearest(m: np.ndarray, _) -> list:
+        return list(np.argsort(-(m @ shared.value.T), axis=1, kind="stable")[:, :probes].astype("int32"))
+
+    return retrieve(_probed(queries, nearest), index.docs, k, "list_id", **kw)
+
+
+def lists_within_reach(queries: DataFrame, index: AnnIndex, nprobe: int) -> DataFrame:
+    """Queries by the lists beyond the first ``nprobe`` that can hold a document as near as ``reach``, a distance.
+
+    A document of a list is at least the angle to its centre less the list's radius away, so all other lists can
+    be left out without losing a hit.
+    """
+    shared = queries.sparkSession.sparkContext.broadcast((index.centers, index.radii))
+
+    def within(m: np.ndarray, reach: pd.Series) -> list:
+        centers, radii = shared.value
+        cosine = np.clip(m @ centers.T, -1.0, 1.0)
+        angle = np.arccos(np.clip(1.0 - reach.to_numpy(dtype=np.float64), -1.0, 1.0))[:, None]
+        open_lists = (np.arccos(cosine) - radii <= angle + SLACK) & (radii >= 0)
+        seen = np.argsort(-cosine, axis=1, kind="stable")[:, :nprobe]
+        np.put_along_axis(open_lists, seen, False, axis=1)
+        return [np.flatnonzero(row).astype("int32") for row in open_lists]
+
+    return _probed(queries, within, "reach")
+
+
+def retrieve_bounded(queries: DataFrame, index: AnnIndex, k: int = K.TOP_K, nprobe: int | None = None, **kw) -> DataFrame:
+    """Exact top ``k`` by the index: the nearest lists first, then only lists whose bound allows a nearer hit.
+
+    The distance of the k-th hit so far is the reach of a query; one with fewer hits reaches everywhere.
+    """
+    probes = min(nprobe or index.nprobe, len(index.centers))
+    first = cut_lineage(ann_retrieve(queries, index, k, probes, **kw))
+    last = first.where(F.col("rank") == k).select("qid", F.col("distance").alias("reach"))
+    reached = queries.select("qid", "embedding").join(last, "qid", "left").fillna(2.0, ["reach"])
+    second = retrieve(cut_lineage(lists_within_reach(reached, index, probes)), index.docs, k, "list_id", **kw)
+    both = first.select("qid", "doc_id", "distance").unionByName(second.select("qid", "doc_id", "distance"))
+    return _scored(top_k_per_query(both, k))
 
 
 def recall_at_k(approximate: DataFrame, exact: DataFrame) -> DataFrame:
