@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom import constants as K
@@ -115,31 +115,42 @@ def feedback_stats(
     return stats.withColumn("reason", reason).withColumn("retrain", F.col("reason") != "none")
 
 
+def as_number(col: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    v = F.col(col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def long_numeric(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     """(column, value) rows as doubles; NaN counts as missing."""
-    numeric = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        numeric.append(F.when(~F.isnan(v), v).alias(c))
     keep = keep or []
-    return df.select(*keep, *numeric).unpivot(keep, cols, "column", "value")
+    return df.select(*keep, *[as_number(c).alias(c) for c in cols]).unpivot(keep, cols, "column", "value")
+
+
+def moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column: rows, missing, mean, std, min, max; one wide aggregate over the rows as they are."""
+    each = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count("*").alias("n_rows"),
+            F.count_if(as_number(c).isNull()).alias("missing"),
+            F.avg(as_number(c)).alias("mean"),
+            F.stddev_samp(as_number(c)).alias("std"),
+            F.min(as_number(c)).alias("min"),
+            F.max(as_number(c)).alias("max"),
+        )
+        for c in cols
+    ]
+    return df.agg(F.array(*each).alias("each")).select(F.inline("each"))
 
 
 def data_profile(df: DataFrame, cols: list[str] = K.NUMERIC_FEATURES) -> DataFrame:
     """Per column: rows, missing, mean, std, min, quartiles, max, distinct values, most frequent value.
 
     Quartiles are exact and interpolated. They come from the table of distinct values with their
-    counts, ranked bucket by bucket, so no task holds a whole column.
+    counts, summed over range partitions, so no task holds a whole column.
     """
     long = long_numeric(df, cols)
-    moments = long.groupBy("column").agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(F.col("value").isNull()).alias("missing"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
     present = long.where(F.col("value").isNotNull())
     counts = cut_lineage(present.groupBy("column", "value").agg(F.count("*").alias("n")))
     ranked = running_sums(counts, "column", "value", ["n"])
@@ -164,4 +175,4 @@ def data_profile(df: DataFrame, cols: list[str] = K.NUMERIC_FEATURES) -> DataFra
     quartiles = placed.groupBy("column").agg(
         quantile(0.25).alias("q25"), quantile(0.5).alias("median"), quantile(0.75).alias("q75")
     )
-    return moments.join(sizes.drop("size"), "column", "left").join(quartiles, "column", "left")
+    return moments(df, cols).join(sizes.drop("size"), "column", "left").join(quartiles, "column", "left")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ticketloom.operators.skew import is_small
 from ticketloom.session import cut_lineage
 
+ROWS_PER_BUCKET = 100_000
 BUCKETS = 64
 
 
@@ -193,36 +194,22 @@ def row_index(
     )
 
 
-def grouped_split_points(df: DataFrame, group: str, value: str, buckets: int = BUCKETS) -> dict[str, list[float]]:
-    """Split points per group; ``group`` must have few values, such as names of columns."""
-    probabilities = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    rows = df.groupBy(group).agg(F.percentile_approx(value, probabilities, 100 * buckets).alias("points")).collect()
-    return {r[group]: sorted(set(r["points"] or [])) for r in rows}
-
-
 def running_sums(
     df: DataFrame, group: str, value: str, measures: list[str], buckets: int | None = None
 ) -> DataFrame:
     """Running totals ``cum_<measure>`` by ``value`` within ``group``, plus ``next_value``.
 
-    ``df`` has one row per (group, value), and ``group`` few values; ``df`` is read more than once, so
-    hand in a checkpointed table when it is costly. Each group is cut into as many buckets as the session
-    has shuffle partitions.
+    ``df`` has one row per (group, value) and is read more than once, so hand in a stored table when it is
+    costly. Its rows are sorted into range partitions, by default of ``ROWS_PER_BUCKET`` rows; a partition's
+    number is stored with its rows, and totals of the partitions before are added to the sums inside.
     """
-    buckets = buckets or bucket_count(df)
-    points = grouped_split_points(df, group, value, buckets)
-    if points:
-        pairs = [x for g, p in points.items() for x in (F.lit(g), F.array(*[F.lit(float(v)) for v in p]))]
-        borders = F.element_at(F.create_map(*pairs), F.col(group))
-        bucket = F.size(F.filter(borders, lambda p: p < F.col(value)))
-    else:
-        bucket = F.lit(0)
-    bucketed = df.withColumn("__bucket", bucket)
+    buckets = buckets or min(bucket_count(df), max(1, -(-df.count() // ROWS_PER_BUCKET)))
+    bucketed = cut_lineage(df.repartitionByRange(buckets, group, value).withColumn("__bucket", F.spark_partition_id()))
     keys = [group, "__bucket"]
     totals = bucketed.groupBy(*keys).agg(
         *[F.sum(m).alias(f"__total_{m}") for m in measures], F.min(value).alias("__first")
     )
-    # one row per group and bucket
+    # one row per group and bucket: few groups make few rows, many groups have few buckets each
     outer = Window.partitionBy(group).orderBy("__bucket")
     before = outer.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -237,8 +224,8 @@ def running_sums(
         *[F.sum(m).over(upto).alias(f"__cum_{m}") for m in measures],
         F.lead(value).over(inner).alias("__next"),
     )
-    # at most (number of groups x buckets) rows
-    return local.join(F.broadcast(offsets), keys).select(
+    # hashed by the same keys as the window, so the larger side is not shuffled again
+    return local.join(offsets, keys).select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"__cum_{m}") + F.col(f"__before_{m}")).alias(f"cum_{m}") for m in measures],
         F.coalesce(F.col("__next"), F.col("__next_first")).alias("next_value"),
