@@ -2,49 +2,39 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions import text
 
-DIM = 1024
+DIM = 4096
+LONGEST = 3
 
 
-def _letters(col: str):
+def _letters(col: str) -> Column:
     """Lower-case letters of the whole text, everything between them as one blank."""
     return F.regexp_replace(F.lower(F.coalesce(F.col(col), F.lit(""))), r"[^\p{L}]+", " ")
 
 
-def with_ngrams(df: DataFrame, col: str, dim: int = DIM, out: str = "__features") -> DataFrame:
-    """Adds the counts of single characters, pairs and triples, hashed into ``dim`` places.
-
-    Counting characters needs no strings per n-gram: a batch is a few array operations per text.
-    """
+def char_ngrams(letters: Column, longest: int = LONGEST) -> Column:
+    """All overlapping runs of 1 to ``longest`` characters, one pass over the text per length."""
+    runs = [F.regexp_extract_all(letters, F.lit(f"(?=(.{{{n}}}))"), 1) for n in range(1, longest + 1)]
+    return F.concat(*runs)
 
-    @F.pandas_udf("array<float>")
-    def counts(texts: pd.Series) -> pd.Series:
-        def one(t: str) -> np.ndarray:
-            c = np.frombuffer(t.encode("utf-32-le"), dtype="<u4").astype("int64")
-            pairs = c[:-1] * 31 + c[1:] + 7919
-            triples = pairs[:-1] * 31 + c[2:] + 104729
-            keys = np.concatenate([c, pairs, triples]) % dim
-            return np.bincount(keys, minlength=dim).astype("float32")
 
-        return texts.map(one)
-
-    return df.withColumn(out, array_to_vector(counts(_letters(col))))
+def with_ngrams(df: DataFrame, col: str, dim: int = DIM, out: str = "__features") -> DataFrame:
+    """Adds the sparse counts of character n-grams, hashed into ``dim`` places."""
+    hashing = HashingTF(numFeatures=dim, inputCol="__ngrams", outputCol=out)
+    return hashing.transform(df.withColumn("__ngrams", char_ngrams(_letters(col)))).drop("__ngrams")
 
 
 def fit_language(labelled: DataFrame, col: str = "text", label: str = "lang", dim: int = DIM) -> PipelineModel:
     """Naive Bayes over hashed character n-grams."""
     known = labelled.where(F.col(label).isNotNull())
-    indexer = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc").fit(known)
+    indexer = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc").fit(known.select(label))
     bayes = NaiveBayes(
         featuresCol="__features", labelCol="__label", predictionCol="__lang_index",
         rawPredictionCol="__lang_raw", probabilityCol="__lang_prob",
