@@ -42,8 +42,8 @@ def test_a_key_is_stored_once_however_far_apart_it_comes(spark, tmp_path):
 def test_window_pieces_keep_late_rows_and_open_windows(spark, tmp_path):
     stream = one_file_each(spark, ROWS, str(tmp_path / "in"))
     for name, make, merge in (
-        ("counts", lambda b, _: jobs.class_count_pieces(b, "name"), jobs.merged_class_counts),
-        ("means", lambda b, _: jobs.feature_mean_pieces(b, "score"), jobs.merged_feature_means),
+        ("counts", lambda b: jobs.class_count_pieces(b, "name"), jobs.merged_class_counts),
+        ("means", lambda b: jobs.feature_mean_pieces(b, "score"), jobs.merged_feature_means),
     ):
         out = str(tmp_path / name)
         jobs.write_batches(stream, out, f"{out}-cp", make).awaitTermination()

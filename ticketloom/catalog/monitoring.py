@@ -327,10 +327,12 @@ def stream_predict_corrected(spark, sf):
     return corrected.select("id", scored.alias("scored"), "feedback_queue")
 
 
-def _run_batches(df, label, make):
+def _run_totals(df, label, keys):
+    """The newest totals after a run of the stateful plan, once as stored and once merged."""
     path = scratch_path(df.sparkSession, label)
-    jobs.write_batches(df, f"{path}/out", f"{path}/checkpoint", lambda batch, _: make(batch)).awaitTermination()
-    return jobs.read_batches(df.sparkSession, f"{path}/out")
+    jobs.write_totals(df, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    jobs.compact_batches(df.sparkSession, f"{path}/out", lambda batches: jobs.latest_totals(batches, keys))
+    return jobs.latest_totals(jobs.read_batches(df.sparkSession, f"{path}/out"), keys)
 
 
 @query(
@@ -340,9 +342,9 @@ def _run_batches(df, label, make):
        count(*) AS count FROM events GROUP BY 1, 2""",
 )
 def tumbling_class_counts(spark, sf):
-    """Counts of every micro-batch, merged: all windows, the last ones and late rows included."""
-    pieces = _run_batches(_log_stream(spark, sf), "tumbling", lambda b: jobs.class_count_pieces(b, "predicted_queue"))
-    done = jobs.merged_class_counts(pieces)
+    """Totals from the state store: all windows, the last ones and late rows included."""
+    totals = jobs.running_class_counts(_log_stream(spark, sf), "predicted_queue")
+    done = _run_totals(totals, "tumbling", ["window_start", "class"])
     return done.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -365,11 +367,11 @@ SLIDING = """SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) A
 
 @query("sliding_feature_means", "X4", SLIDING.format(where=""))
 def sliding_feature_means(spark, sf):
-    pieces = _run_batches(
-        _log_stream(spark, sf), "sliding", lambda b: jobs.feature_mean_pieces(b, "confidence_queue")
+    totals = _run_totals(
+        jobs.running_feature_means(_log_stream(spark, sf), "confidence_queue"), "sliding", ["window_start"]
     )
     start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
-    return jobs.merged_feature_means(pieces).withColumns({"window_start": start, "mean": F.round("mean", 6)})
+    return jobs.merged_feature_means(totals).withColumns({"window_start": start, "mean": F.round("mean", 6)})
 
 
 @query("sliding_feature_means_batch", "X4", SLIDING.format(where=""))
@@ -396,12 +398,13 @@ JOINED = """SELECT l.id, f.correct_queue, strftime(f.feedback_at, '%Y-%m-%d %H:%
 
 @query("feedback_stream_join", "X6", S.with_(S.LOG, S.FEEDBACK) + JOINED)
 def feedback_stream_join(spark, sf):
-    """The stream's matches, completed by the batch step: every prediction, matched or not."""
+    """The stream's matches, completed by what came after the watermark: every prediction, matched or not."""
     corrections = jobs.event_time(S.feedback_from_events(_event_stream(spark, sf)), "feedback_at")
     streamed = _run(jobs.feedback_stream_join(_log_stream(spark, sf), corrections), "joined")
     log = jobs.event_time(S.prediction_log(spark, sf))
-    done = jobs.completed_join(streamed, log, jobs.event_time(S.feedback(spark, sf), "feedback_at"))
-    return done.select("id", "correct_queue", F.date_format("feedback_at", "yyyy-MM-dd HH:mm:ss").alias("feedback_at"))
+    late = jobs.event_time(S.feedback(spark, sf), "feedback_at")
+    matches = jobs.complete_matches(spark, scratch_path(spark, "matches"), streamed, log, late)
+    return jobs.with_unmatched(matches, log).select("id", "correct_queue", F.date_format("feedback_at", "yyyy-MM-dd HH:mm:ss").alias("feedback_at"))
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions.text import ts_parse
+from ticketloom.session import folder_names
 
 
 def write_snapshot(df: DataFrame, root: str, stamp: str) -> str:
@@ -17,12 +18,7 @@ def write_snapshot(df: DataFrame, root: str, stamp: str) -> str:
 
 def snapshot_names(spark: SparkSession, root: str) -> list[str]:
     """Names of the stored snapshots in order, from one listing by Spark's own file system."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not found.exists(path):
-        return []
-    names = [s.getPath().getName() for s in found.listStatus(path)]
+    names = folder_names(spark, root)
     return sorted(n.removeprefix("snapshot=") for n in names if n.startswith("snapshot="))
 
 
