@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ticketloom.catalog import standins as S
@@ -13,12 +15,12 @@ from ticketloom.sources import records, snapshots, tables
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-@query("read_tickets", "S1", "SELECT doc_id, lang, source, n_chars FROM documents")
+@query("read_tickets", "S1", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def read_tickets(spark, sf):
-    return tables.read_tickets(spark, f"{sf}/documents.parquet", DOCUMENTS).select("doc_id", "lang", "source", "n_chars")
+    return tables.read_tickets(spark, f"{sf}/documents.parquet", DOCUMENTS)
 
 
-ENRICHED_COLUMNS = "id, refined_queue, urgency_level, body_length, answer_length"
+ENRICHED_COLUMNS = "id, subject, body_clean, answer_clean, refined_queue, urgency_level, queue, language, body_length, answer_length"
 
 
 @query("write_dataset", "S2", S.with_(S.ENRICHED) + f"SELECT {ENRICHED_COLUMNS} FROM enriched")
@@ -50,12 +52,12 @@ def read_table(spark, sf):
     return tables.read_table(spark, "ticketloom_orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
-@query("replace_table", "S6", S.with_(S.TICKETS) + "SELECT id, queue, priority, language FROM tickets")
+@query("replace_table", "S6", S.with_(S.TICKETS) + "SELECT id, subject, body, answer, queue, priority, language FROM tickets")
 def replace_table(spark, sf):
     t = S.tickets(spark, sf)
     path = scratch_path(spark, "replaced")
     tables.replace_table(t.select("id", "queue"), "ticketloom_replaced", path=path)
-    tables.replace_table(t.select("id", "queue", "priority", "language"), "ticketloom_replaced", path=path)
+    tables.replace_table(t.select("id", "subject", "body", "answer", "queue", "priority", "language"), "ticketloom_replaced", path=path)
     return tables.read_table(spark, "ticketloom_replaced")
 
 
@@ -74,10 +76,12 @@ def reload_table(spark, sf):
       SELECT CASE WHEN value < 50 THEN '1' ELSE '2' END AS batch FROM events) GROUP BY batch""",
 )
 def append_log(spark, sf):
+    """Two batches written at the same time."""
     log = S.prediction_log(spark, sf)
     path = scratch_path(spark, "log")
-    first = tables.append_log(log.where(F.col("confidence_queue") < 0.1), path, "1")
-    second = tables.append_log(log.where(F.col("confidence_queue") >= 0.1), path, "2")
+    parts = [(log.where(F.col("confidence_queue") < 0.1), "1"), (log.where(F.col("confidence_queue") >= 0.1), "2")]
+    with ThreadPoolExecutor(2) as pool:
+        first, second = pool.map(lambda part: tables.append_log(part[0], path, part[1]), parts)
     both = first.withColumn("batch", F.lit("1")).unionByName(second.withColumn("batch", F.lit("2")))
     shared = first.join(second, "id").agg(F.count("*").cast("int")).scalar()
     return both.groupBy("batch").agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -15,7 +16,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +24,7 @@ from ticketloom.operators.aggregates import balanced_weights
 from ticketloom.operators.joins import attach_class_weight
 from ticketloom.operators.metrics import classification_report
 from ticketloom.operators.ordering import hash_fraction
+from ticketloom.session import cut_lineage
 
 # The space hyper-parameters are drawn from.
 SEARCH_SPACE = {
@@ -51,7 +52,7 @@ def class_index(df: DataFrame, col: str) -> DataFrame:
     return df.sparkSession.createDataFrame(list(zip(labels, range(len(labels)))), "class string, index int")
 
 
-def estimator(kind: str = "forest", weighted: bool = False, **params):
+def estimator(kind: str = "boosted", weighted: bool = False, **params):
     """A Spark classifier for the given parameters, by the names of the search space.
 
     'forest' and 'logistic' are multiclass; 'boosted' is one-vs-rest over boosted trees, whose scores
@@ -72,7 +73,7 @@ def estimator(kind: str = "forest", weighted: bool = False, **params):
             subsamplingRate=sample, featureSubsetStrategy=columns if columns != "auto" else "all",
             minInstancesPerNode=leaf,
         )
-        return OneVsRest(classifier=tree, **weight)
+        return OneVsRest(classifier=tree, parallelism=4, **weight)
     return RandomForestClassifier(
         maxDepth=depth, numTrees=trees, seed=seed, subsamplingRate=sample,
         featureSubsetStrategy=columns, minInstancesPerNode=leaf, **weight,
@@ -80,7 +81,7 @@ def estimator(kind: str = "forest", weighted: bool = False, **params):
 
 
 def train_classifier(
-    train: DataFrame, target: str, kind: str = "forest", balanced: bool = False, features: str = "features", **params
+    train: DataFrame, target: str, kind: str = "boosted", balanced: bool = False, features: str = "features", **params
 ) -> PipelineModel:
     """Classifier with its label encoder; ``balanced`` weighs rows by their class."""
     data = train.where(F.col(target).isNotNull())
@@ -137,14 +138,21 @@ def _evaluator() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(metricName="weightedFMeasure", labelCol="label")
 
 
-def _folded(df: DataFrame, target: str, k: int, seed: int, id_col: str) -> DataFrame:
+FOLDS, HOLDOUT = "folds", "holdout"
+
+
+def validation_parts(
+    df: DataFrame, target: str, validation: str = FOLDS, k: int = 3, share: float = 0.2, seed: int = 42, id_col: str = "id"
+) -> DataFrame:
+    """Labelled rows with the ``part`` they validate: one of ``k`` folds, or 0 for the held-out share and NULL."""
     # not the hash by which samples are drawn: those hold the rows with the smallest ones
-    fold = F.floor(hash_fraction(id_col, f"fold-{seed}") * k).cast("int")
-    return encode_label(df.where(F.col(target).isNotNull()), target).withColumn("fold", fold)
+    place = hash_fraction(id_col, f"fold-{seed}")
+    part = F.floor(place * k).cast("int") if validation == FOLDS else F.when(place < share, 0)
+    return encode_label(df.where(F.col(target).isNotNull()), target).withColumn("part", part)
 
 
 def cross_validate(
-    df: DataFrame, target: str, k: int = 3, kind: str = "forest", balanced: bool = False,
+    df: DataFrame, target: str, k: int = 3, kind: str = "boosted", balanced: bool = False,
     seed: int = 42, id_col: str = "id", **params,
 ) -> float:
     """Mean weighted F1 over ``k`` folds; a row's fold follows from its id."""
@@ -170,39 +178,42 @@ def draw_params(n: int, seed: int = 42, space: dict = SEARCH_SPACE, kind: str =
     return [{name: one(rule) for name, rule in space.items()} for _ in range(n)]
 
 
-def _grid(fit, kind: str, weighted: bool, sets: list[dict]) -> list[dict]:
-    """The parameter maps Spark tries, with the differences of each set from ``fit`` filled in."""
-    maps = []
-    for params in sets:
-        wanted = estimator(kind, weighted, **params)
-        if kind == "boosted":
-            maps.append({fit.classifier: wanted.getClassifier()})
-        else:
-            maps.append({fit.getParam(p.name): v for p, v in wanted.extractParamMap().items()})
-    return maps
-
-
 def random_search(
-    df: DataFrame, target: str, sets: list[dict] | int, k: int = 3, kind: str = "forest",
+    df: DataFrame, target: str, sets: list[dict] | int, k: int = 3, kind: str = "boosted",
     balanced: bool = False, seed: int = 42, id_col: str = "id", parallelism: int = 4,
+    validation: str = FOLDS, share: float = 0.2,
 ) -> DataFrame:
-    """(run_id, params, score) for each parameter set, scored by k-fold weighted F1."""
+    """(run_id, params, score, parts) for each parameter set, scored by weighted F1.
+
+    ``validation`` is 'folds' (the mean over ``k``) or 'holdout' (the held-out ``share``). With ``balanced``, rows
+    are weighted by their class in the part that is trained on. ``parts`` tells the rows trained and validated on
+    and the score of each fit.
+    """
     if isinstance(sets, int):
         sets = draw_params(sets, seed, kind=kind)
-    folded = _folded(df, target, k, seed, id_col)
-    if balanced:
-        folded = attach_class_weight(folded, balanced_weights(df, target), target)
-    fit = estimator(kind, balanced, **sets[0])
-    search = CrossValidator(
-        estimator=fit, estimatorParamMaps=_grid(fit, kind, balanced, sets), evaluator=_evaluator(),
-        numFolds=k, foldCol="fold", parallelism=parallelism,
-    )
-    scores = search.fit(folded).avgMetrics
-    rows = [
-        (f"run-{i:03d}", {name: str(v) for name, v in params.items()}, float(s))
-        for i, (params, s) in enumerate(zip(sets, scores))
-    ]
-    return df.sparkSession.createDataFrame(rows, "run_id string, params map<string,string>, score double")
+    marked = cut_lineage(validation_parts(df, target, validation, k, share, seed, id_col))
+    parts = []
+    for part in range(k if validation == FOLDS else 1):
+        held = F.col("part").eqNullSafe(part)
+        train, valid = marked.where(~held), marked.where(held)
+        if balanced:
+            train = cut_lineage(attach_class_weight(train, balanced_weights(train, target), target))
+        parts.append((part, train, valid, train.count(), valid.count()))
+
+    def measured(job) -> tuple:
+        params, (part, train, valid, n_train, n_valid) = job
+        score = _evaluator().evaluate(estimator(kind, balanced, **params).fit(train).transform(valid))
+        return part, n_train, n_valid, float(score)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(measured, [(params, part) for params in sets for part in parts]))
+    rows = []
+    for i, params in enumerate(sets):
+        own = found[i * len(parts) : (i + 1) * len(parts)]
+        score = sum(x[3] for x in own) / len(own)
+        rows.append((f"run-{i:03d}", {name: str(v) for name, v in params.items()}, score, own))
+    part = "struct<part:int,n_train:bigint,n_valid:bigint,score:double>"
+    return df.sparkSession.createDataFrame(rows, f"run_id string, params map<string,string>, score double, parts array<{part}>")
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -20,7 +20,7 @@ from ticketloom.operators import (
     textvec,
 )
 from ticketloom.plans.enrich import training_table
-from ticketloom.session import cut_lineage
+from ticketloom.session import cut_lineage, scratch_scope
 from ticketloom.sources import snapshots
 
 
@@ -36,7 +36,8 @@ class LoopParams:
     trials: int = 10
     space: dict = field(default_factory=lambda: models.SEARCH_SPACE)
     folds: int = 3
-    kind: str = "forest"
+    kind: str = "boosted"
+    holdout: float = 0.2
     test: float = 0.15
     seed: int = 42
     keywords: dict = field(default_factory=lambda: K.KEYWORDS)
@@ -106,8 +107,11 @@ def retrain(features: DataFrame, params: LoopParams, run_id: str, dataset: str)
     tuning = cut_lineage(tuning)
     fitted, scores, chosen = {}, {}, {}
     sets = models.draw_params(params.trials, params.seed, params.space, params.kind)
-    for target, balanced in (("refined_queue", False), ("urgency_level", True)):
-        trials = models.random_search(tuning, target, sets, params.folds, params.kind, balanced, params.seed)
+    # the queue by folds; the urgency, whose classes are weighted, on held-out rows
+    for target, balanced, validation in (("refined_queue", False, models.FOLDS), ("urgency_level", True, models.HOLDOUT)):
+        trials = models.random_search(
+            tuning, target, sets, params.folds, params.kind, balanced, params.seed, validation=validation, share=params.holdout
+        )
         best = aggregates.best_run(trials, "score", ["params"]).first()["params"]
         fitted[target] = models.train_classifier(train, target, params.kind, balanced, **best)
         report = models.evaluate(fitted[target], test.where(F.col(target).isNotNull()), target)
@@ -164,8 +168,9 @@ def monitor_and_retrain(
     features, additions = embedded_features(data, cache, encoder, now)
     if cache_path:
         additions.write.mode("append").parquet(cache_path)
-    record, fitted = retrain(features, params, stamp, f"snapshot={stamp}")
-    record = cut_lineage(record)
+    with scratch_scope(enriched.sparkSession) as scope:  # feature tables and folds are not needed afterwards
+        record, fitted = retrain(features, params, stamp, f"snapshot={stamp}")
+        record = scope.kept(record)
     if model_root and record.first()["status"] == "success":
         for target, model in fitted.items():
             models.save_model(model, f"{model_root}/{target}/{stamp}")

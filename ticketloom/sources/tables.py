@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom import schemas
 from ticketloom.functions.text import left_n
 from ticketloom.operators.feedback import insert_ignore
+from ticketloom.session import create_once, cut_lineage, folder_names, remove_folder, scratch_scope
 
 JDBC_BATCH = 1000
 
@@ -67,19 +68,22 @@ def replace_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None,
         df.write.format("jdbc").options(**jdbc).mode("overwrite").save()
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
 def reload_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None) -> None:
     """Empty the table, keep its definition, and load ``df``.
 
     A file-based table's new rows are written to a folder beside the old one, and the table's location is
     switched when they are complete: a load that fails leaves the table as it was, and readers of the old
-    files, which stay, can finish. A database truncates instead of dropping.
+    files, which stay until ``drop_old_versions``, can finish. A database truncates instead of dropping.
     """
     if jdbc is None:
         spark = df.sparkSession
         target = spark.table(name)
-        described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
-        location = described.first()["data_type"].rstrip("/")
-        version = f"{location.split('-version-')[0]}-version-{uuid.uuid4().hex}"
+        version = f"{_location(spark, name).split('-version-')[0]}-version-{uuid.uuid4().hex}"
         df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]).write.parquet(version)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
         spark.catalog.refreshTable(name)
@@ -87,21 +91,68 @@ def reload_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None) -
         df.write.format("jdbc").options(**jdbc).option("truncate", "true").mode("overwrite").save()
 
 
+#: Ids in one reserved range, and the folder of the reservations, which readers of the log pass over.
+ID_RANGE = 1 << 24
+RESERVED = "_reserved"
+
+
+def reserve_ranges(spark: SparkSession, path: str, count: int) -> list[int]:
+    """Numbers of ranges of ``ID_RANGE`` ids that nobody else gets: each is a file that only one caller can make.
+
+    Range n holds the ids n * ID_RANGE + 1 and on. Ranges of a writer that fails are not used again.
+    """
+    folder = f"{path}/{RESERVED}"
+    taken = folder_names(spark, folder)
+    at, mine = max((int(n) for n in taken if n.isdigit()), default=-1) + 1, []
+    while len(mine) < count:
+        if create_once(spark, f"{folder}/{at:012d}"):
+            mine.append(at)
+        at += 1
+    return mine
+
+
 def append_log(df: DataFrame, path: str, batch: str, id_col: str = "id") -> DataFrame:
     """Append rows as one named batch with new ids, and return them as stored.
 
-    An id is drawn from the batch name and the row's place in it, 63 bits of their hash, so nothing stored is
-    read, writers of different batches do not meet, and ids do not run out. A batch is written once;
-    repeating it fails instead of adding rows twice.
+    The rows are counted, ranges of ids are reserved for them, and they are numbered inside: ids are unique by
+    construction, nothing stored is read, and writers of different batches do not wait for each other. A batch
+    is written once; repeating it fails instead of adding rows twice.
     """
     spark = df.sparkSession
-    drawn = F.xxhash64(F.lit(batch), F.monotonically_increasing_id())
-    numbered = df.drop(id_col).withColumn(id_col, drawn.bitwiseAND(F.lit(2**63 - 1)))
     target = f"{path}/batch={batch}"
-    numbered.select(id_col, *[c for c in df.columns if c != id_col]).write.mode("errorifexists").parquet(target)
+    with scratch_scope(spark):
+        rows = df.drop(id_col).withColumn("__at", F.monotonically_increasing_id())
+        rows = cut_lineage(rows.withColumn("__part", F.shiftright("__at", 33)))
+        # one row per partition
+        counts = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+        before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        shift = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+        ranges = reserve_ranges(spark, path, -(-rows.count() // ID_RANGE))
+        place = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+        reserved = spark.createDataFrame(list(enumerate(ranges)), "__range bigint, __number bigint")
+        numbered = (
+            rows.join(F.broadcast(shift), "__part")
+            .withColumn("__place", place)
+            .withColumn("__range", F.floor(F.col("__place") / ID_RANGE))
+            .join(F.broadcast(reserved), "__range")
+            .withColumn(id_col, F.col("__number") * ID_RANGE + F.col("__place") % ID_RANGE + 1)
+        )
+        kept = [c for c in df.columns if c != id_col]
+        numbered.select(id_col, *kept).write.mode("errorifexists").parquet(target)
     return spark.read.parquet(target)
 
 
+def drop_old_versions(spark: SparkSession, name: str) -> list[str]:
+    """Removes the folders that ``reload_table`` left behind, all but the one the table uses; their names."""
+    location = _location(spark, name)
+    folder, current = location.rsplit("/", 1)
+    stem = current.split("-version-")[0]
+    old = [n for n in folder_names(spark, folder) if n != current and (n == stem or n.startswith(f"{stem}-version-"))]
+    for n in old:
+        remove_folder(spark, f"{folder}/{n}")
+    return old
+
+
 def append_ignore(new: DataFrame, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """Append the rows whose key is not stored yet; returns the stored table."""
     spark = new.sparkSession
