@@ -13,6 +13,27 @@ from ticketloom.operators.skew import is_small, lookup_join, skew_join
 from ticketloom.session import cut_lineage
 
 CACHE_KEYS = ["text_hash", "model_name"]
+#: Bits of a key filter: at most FILTER_BITS / 64 rows of 16 bytes, 2 MB, are broadcast.
+FILTER_BITS = 1 << 23
+
+
+def key_filter(keys: DataFrame, cols: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """(word, mask): one bit per hash of the keys, 64 to a word. Its size is bounded by ``bits``."""
+    spot = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
+    marked = keys.select(F.shiftright(spot, 6).alias("word"), bit.alias("bit"))
+    return marked.groupBy("word").agg(F.bit_or("bit").alias("mask"))
+
+
+def only_possible(df: DataFrame, words: DataFrame, cols: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``df`` whose key may be among those of the filter, found before ``df`` is shuffled.
+
+    All rows with such a key stay; others mostly go, so a large table meets a small batch with few rows.
+    """
+    spot = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    placed = df.withColumn("word", F.shiftright(spot, 6)).withColumn("__bit", (spot % 64).cast("int"))
+    marked = F.call_function("getbit", "mask", "__bit") == 1
+    return placed.join(F.broadcast(words), "word").where(marked).drop("word", "mask", "__bit")
 
 
 def with_text_hash(texts: DataFrame, model: str, col: str = "text") -> DataFrame:
@@ -27,9 +48,11 @@ def text_keys(texts: DataFrame, model: str, col: str = "text", id_col: str = "id
 def cache_lookup(keys: DataFrame, cache: DataFrame, id_col: str = "id") -> DataFrame:
     """Each key of ``text_keys`` with the stored vector of its (hash, model), NULL if there is none.
 
-    One text may make up a large part of the rows, so hot hashes are salted.
+    One text may make up a large part of the rows, so hot hashes are salted. Of the cache only rows whose key
+    may be asked for are shuffled.
     """
-    return skew_join(keys, cache.select(*CACHE_KEYS, "embedding"), CACHE_KEYS, "left", spread_by=[id_col])
+    possible = only_possible(cache.select(*CACHE_KEYS, "embedding"), key_filter(keys, CACHE_KEYS), CACHE_KEYS)
+    return skew_join(keys, possible, CACHE_KEYS, "left", spread_by=[id_col])
 
 
 def distinct_texts(texts: DataFrame, col: str = "text") -> DataFrame:
@@ -46,7 +69,9 @@ def cache_misses(texts: DataFrame, cache: DataFrame, model: str, col: str = "tex
     """
     stored = cache.where((F.col("model_name") == model) & F.col("embedding").isNotNull()).select("text_hash")
     hashes = texts.select(text.text_hash(F.col(col)).alias("text_hash")).where("text_hash IS NOT NULL").distinct()
-    missing = cut_lineage(hashes.join(stored, "text_hash", "left_anti"))
+    hashes = cut_lineage(hashes)
+    possible = only_possible(stored, key_filter(hashes, ["text_hash"]), ["text_hash"])
+    missing = cut_lineage(hashes.join(possible, "text_hash", "left_anti"))
     side = F.broadcast(missing) if is_small(missing) else missing
     hashed = texts.select(text.text_hash(F.col(col)).alias("text_hash"), F.col(col).alias("text"))
     return hashed.join(side, "text_hash", "left_semi").dropDuplicates(["text_hash"])
