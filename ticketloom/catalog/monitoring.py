@@ -12,6 +12,7 @@ from ticketloom.operators import dialog, drift, feedback, models, projections, t
 from ticketloom.plans import monitor, serve
 from ticketloom.plans.enrich import training_table
 from ticketloom.session import cut_lineage, scratch_path
+from ticketloom.sources.tables import spread
 from ticketloom.streaming import jobs
 
 # --- drift --------------------------------------------------------------------------------------
@@ -265,8 +266,11 @@ def _run(df, label):
 )
 def stream_enrich(spark, sf):
     arriving = S.tickets_from_documents(jobs.read_file_stream(spark, sf, DOCUMENTS, "documents.parquet"))
-    done = _run(jobs.stream_enrich(arriving, S.TEST_KEYWORDS), "stream-enrich")
-    return done.select(
+    path = scratch_path(spark, "stream-enrich")
+    # a micro-batch of few splits is spread over the cores, a large one is not shuffled
+    enriched = lambda batch: jobs.stream_enrich(spread(batch, "id"), S.TEST_KEYWORDS)
+    jobs.write_batches(arriving, f"{path}/out", f"{path}/checkpoint", enriched).awaitTermination()
+    return jobs.read_batches(spark, f"{path}/out").select(
         "id", "refined_queue", "urgency_level", "body_length", "has_network", "has_software", "body_clean", "answer_clean"
     )
 

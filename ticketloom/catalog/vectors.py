@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -9,17 +11,18 @@ from pyspark.sql import functions as F
 from ticketloom.catalog import standins as S
 from ticketloom.catalog.registry import query
 from ticketloom.catalog.relational import SPLIT
-from ticketloom.functions import vectors
+from ticketloom.functions import text, vectors
 from ticketloom.operators import (
     aggregates,
     documents,
     language,
+    metrics,
     models,
     retrieval,
     sampling,
     textvec,
 )
-from ticketloom.plans.enrich import training_table
+from ticketloom.plans.enrich import ingest, training_table
 from ticketloom.session import cut_lineage, scratch_path
 from ticketloom.sources.tables import spread
 
@@ -62,6 +65,24 @@ def detect_language(spark, sf):
     )
 
 
+@query(
+    "ingest_tickets",
+    "P2 M3",
+    f"""SELECT lang, count(*) AS n, true AS as_expected FROM documents WHERE {HASHED_BELOW_HALF} AND NOT ({SHORT}) GROUP BY lang""",
+)
+def ingest_tickets(spark, sf):
+    """The language filter at the head of the chain: English tickets pass, those of other languages do not."""
+    d = spread(S.table(spark, sf, "documents"), "doc_id")
+    parts = sampling.random_split(d, 0.5, 42, "doc_id")
+    model = language.fit_language(sampling.split_part(parts, "train"))
+    tickets = S.tickets_from_documents(sampling.split_part(parts, "test")).where(text.lang_guard(F.col("body")).isNull())
+    passed = ingest(tickets, model).select("id", F.lit(1.0).alias("passed"))
+    share = F.avg(F.coalesce("passed", F.lit(0.0)))
+    told = tickets.join(passed, "id", "left").groupBy(F.col("language").alias("lang")).agg(F.count("*").alias("n"), share.alias("share"))
+    expected = F.when(F.col("lang") == "en", F.col("share") >= 0.95).otherwise(F.col("share") <= 0.05)
+    return told.select("lang", "n", expected.alias("as_expected"))
+
+
 TERMS = r"""words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\pL\pN_]{2,}') AS w FROM documents),
 terms AS (SELECT doc_id, unnest(w) AS term FROM words
   UNION ALL
@@ -107,6 +128,30 @@ def tfidf_features(spark, sf):
     return found.select("id", n.alias("n_terms"), F.round(total, 5).alias("total"))
 
 
+@query(
+    "tfidf_terms",
+    "M4",
+    S.with_(TERMS)
+    + """, top AS (SELECT term, ln((1e0 + (SELECT count(*) FROM documents)) / (1e0 + doc_count)) + 1 AS idf FROM stats
+           ORDER BY count DESC, term LIMIT 5000),
+         weighted AS (SELECT doc_id, term, count(*) * any_value(idf) AS w FROM terms JOIN top USING (term)
+           GROUP BY doc_id, term),
+         scaled AS (SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 5) AS weight FROM weighted)
+         SELECT term, count(*) AS n_docs, max(weight) AS largest, arg_max(doc_id, weight * 1e6 - doc_id * 1e-9) AS doc_id
+         FROM scaled GROUP BY term""",
+)
+def tfidf_terms(spark, sf):
+    """Of every term of the vocabulary the documents with it, its largest weight, and the document that has it."""
+    texts = _texts(spark, sf)
+    model = textvec.fit_tfidf(texts)
+    weights = vector_to_array(F.col("tfidf"))
+    placed = model.transform(texts).select("id", F.posexplode(weights).alias("place", "w")).where("w <> 0")
+    terms = spark.createDataFrame(list(enumerate(model.terms)), "place int, term string")
+    scaled = placed.join(F.broadcast(terms), "place").select("term", "id", F.round("w", 5).alias("weight"))
+    best = F.max_by("id", F.col("weight") * 1e6 - F.col("id") * 1e-9)
+    return scaled.groupBy("term").agg(F.count("*").alias("n_docs"), F.max("weight").alias("largest"), best.alias("doc_id"))
+
+
 @query("embed_texts", "M5")
 def embed_texts(spark, sf):
     """One unit vector per document: its width and length."""
@@ -299,6 +344,34 @@ def evaluate_supports(spark, sf):
     return classes.select("class", F.col("support").cast("bigint").alias("support"), F.col("f1").between(0, 1).alias("measured"))
 
 
+FLOORS = [("refined_queue", "forest"), ("refined_queue", "boosted"), ("refined_queue", "logistic"), ("urgency_level", "boosted")]
+
+
+@query(
+    "model_floors",
+    "M8 M9 M12",
+    S.with_(S.ENRICHED, SPLIT.format(keys="queue, urgency_level", table="enriched", test="15e-2", val="15e-2"))
+    + f"""SELECT target, kind, (SELECT count(*) FROM split WHERE split = 'test') AS n_test, true AS beats_majority,
+            true AS classes_differ FROM (VALUES {", ".join(str(x) for x in FLOORS)}) AS f(target, kind)""",
+)
+def model_floors(spark, sf):
+    """Each kind of model against the answer "largest class", by weighted F1 on the test part."""
+    split = cut_lineage(sampling.stratified_split(_features(spark, sf), ["queue", "urgency_level"], 0.15, 0.15))
+    train, test = sampling.split_part(split, "train"), sampling.split_part(split, "test")
+    parts = []
+    for target, kind in FLOORS:
+        model = models.train_classifier(train, target, kind, max_depth=4, n_estimators=8, learning_rate=0.3)
+        scored = cut_lineage(models.predict(model, test, target).select(target, f"predicted_{target}"))
+        f1 = metrics.f1_weighted(scored, target, f"predicted_{target}").scalar()
+        share = scored.groupBy(target).agg(F.count("*").alias("n")).agg((F.max("n") / F.sum("n")).alias("share")).scalar()
+        row = scored.agg(F.count("*").alias("n_test"), F.count_distinct(f"predicted_{target}").alias("classes"))
+        parts.append(row.select(
+            F.lit(target).alias("target"), F.lit(kind).alias("kind"), "n_test",
+            (f1 > share * 2 * share / (share + 1)).alias("beats_majority"), (F.col("classes") > 1).alias("classes_differ"),
+        ))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query(
     "search_folds",
     "M10 M11",

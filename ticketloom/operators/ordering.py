@@ -37,21 +37,27 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
 
 
+def _digits(df: DataFrame) -> int:
+    """Hex digits that tell apart enough buckets for the counted rows."""
+    buckets = df.count() / ROWS_PER_BUCKET
+    return next(n for n in range(1, 16) if 16**n >= buckets)
+
+
 def hashed_position(
     df: DataFrame,
     id_col: str,
     seed: int | str,
     strata: list[str] | None = None,
-    digits: int = 3,
+    digits: int | None = None,
     position: str = "position",
     size: str = "stratum_size",
 ) -> DataFrame:
     """Adds the 1-based position in hash order within each stratum, and the size of the stratum.
 
-    The first ``digits`` hex digits of the hash split a stratum into 16^digits equal buckets, so a
-    stratum holding a third of all rows is still ranked by thousands of tasks.
+    The first ``digits`` hex digits of the hash split a stratum into 16^digits equal buckets, by default so many
+    that even a stratum of all rows has buckets of at most ``ROWS_PER_BUCKET`` rows on average.
     """
-    strata = list(strata or [])
+    strata, digits = list(strata or []), digits or _digits(df)
     keys = [*strata, "__bucket"]
     h = hash_key(id_col, seed)
     keyed = df.withColumn("__hash", h).withColumn("__bucket", F.substring("__hash", 1, digits))
@@ -83,7 +89,7 @@ def hash_cutoffs(
     seed: int | str,
     strata: list[str],
     targets: Callable[[Column], list[Column]],
-    digits: int = 3,
+    digits: int | None = None,
 ) -> DataFrame:
     """Per stratum the hash at which each of the wanted positions is reached.
 
@@ -92,6 +98,7 @@ def hash_cutoffs(
     one bucket of a stratum that holds a wanted position is ranked, so telling on which side of a
     position a row lies takes no shuffle of the rows themselves.
     """
+    digits = digits or _digits(df)
     narrow = df.select(*strata, F.col(id_col), hash_key(id_col, seed).alias("__hash"))
     narrow = narrow.withColumn("__bucket", F.substring("__hash", 1, digits))
     totals = narrow.groupBy(*strata, "__bucket").agg(F.count("*").alias("__n"))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -263,21 +263,19 @@ def retrieve_with_fallback(
     enough = near.groupBy("qid").agg(F.count("*").alias("n")).where(F.col("n") >= min_hits)
     short = queries.join(enough, "qid", "left_anti")
     wide = threshold(retrieve(short, docs, k, **kw), similarity)
-    first = near.withColumn("stage", F.lit("queue"))
-    second = wide.withColumn("stage", F.lit("global"))
-    merged = merge_distinct(_with_content(first, docs, content), _with_content(second, docs, content))
-    ordered = [F.desc("stage"), F.col("rank")]
-    return top_k(merged, ["qid"], ordered, k, "position").select(
+    both = near.withColumn("stage", F.lit("queue")).unionByName(wide.withColumn("stage", F.lit("global")))
+    merged = both.withColumn("content", F.col("doc_id"))
+    if content is not None:  # texts are compared by their hash, in one narrow lookup
+        keys = docs.select("doc_id", F.sha2(F.col(content), 256).alias("content"))
+        merged = both.join(keys, "doc_id", "left")
+    # of one content a query keeps all hits of its class, or else the nearest of the others
+    copy = Window.partitionBy("qid", "content").orderBy(F.desc("stage"), "rank")
+    merged = merged.withColumn("__copy", F.row_number().over(copy)).where("stage = 'queue' or __copy = 1").drop("__copy")
+    return top_k(merged, ["qid"], [F.desc("stage"), F.col("rank")], k, "position").select(
         "qid", F.col("position").alias("rank"), "doc_id", "distance", "similarity", "stage"
     )
 
 
-def _with_content(hits: DataFrame, docs: DataFrame, content: str | None) -> DataFrame:
-    if content is None:
-        return hits.withColumn("content", F.col("doc_id").cast("string"))
-    return hits.join(docs.select("doc_id", F.col(content).alias("content")), "doc_id", "left")
-
-
 def merge_distinct(first: DataFrame, second: DataFrame) -> DataFrame:
     """``first`` as it is, then the rows of ``second`` whose content the query does not have yet."""
     fresh = second.join(first.select("qid", "content"), ["qid", "content"], "left_anti")
