@@ -18,14 +18,15 @@ scanned whole; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import stored, table, text_of
 from ticketloom.llm.registry import query
+from ticketloom.operators.joins import key_filter, only_possible
+from ticketloom.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -64,33 +65,29 @@ FORMATS = (
 RULES = BASE + FORMATS
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
+#: Characters of a text that are masked together.
+CHUNK = 4096
 
 
-def spans_of(text: Column, rule: Rule, kind: int) -> Column:
-    """All spans of a rule, as structs (start, kind, end); the array is empty without a match.
+def pieces_of(text: Column, rule: Rule) -> Column:
+    """Lengths of the pieces between the matches of a rule, of the matches, and of what counts of them.
 
-    Pieces between the matches and the matches themselves alternate, so running sums of their lengths are
-    the positions. Only texts with a match get that far.
+    They alternate, so running sums of them are the positions. NULL for a text without a match.
     """
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     value = matches if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
     gaps = F.split(text, rule.pattern, -1)
     joined = F.arrays_zip(gaps.alias("gap"), matches.alias("hit"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["hit"]), F.lit(0))
-        long_enough = F.coalesce(F.length(x["value"]) >= rule.least, F.lit(False))
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(
-            end.alias("at"),
-            F.when(long_enough, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"),
-        )
-
-    found = F.aggregate(joined, start, step, lambda state: state["out"])
-    return F.when(F.regexp_like(text, pattern), found)
+    lengths = F.transform(
+        joined,
+        lambda x: F.struct(
+            F.length(x["gap"]).alias("gap"),
+            F.coalesce(F.length(x["hit"]), F.lit(0)).alias("hit"),
+            F.coalesce(F.length(x["value"]), F.lit(-1)).alias("value"),
+        ),
+    )
+    return F.when(F.regexp_like(text, pattern), lengths)
 
 
 def _blobs(versions: DataFrame) -> DataFrame:
@@ -98,22 +95,37 @@ def _blobs(versions: DataFrame) -> DataFrame:
     return versions.groupBy("blob").agg(F.first("text").alias("text"))
 
 
-def _scanned(blobs: DataFrame, rules: tuple[Rule, ...], seen: DataFrame | None) -> DataFrame:
-    """(blob, rules, spans) of the pairs of blobs and rules that are not ``seen``; spans may be empty."""
-    keys = {r.key: i for i, r in enumerate(rules)}
-    todo = F.lit(True)
+def _scanned(versions: DataFrame, rules: tuple[Rule, ...], seen: DataFrame | None) -> DataFrame:
+    """(blob, rules, hits, text) of the blobs with rules that are not ``seen``.
+
+    ``hits`` has (kind, pieces) of the rules that match; the text is kept where there are any.
+    """
+    blobs, keys = _blobs(versions), {r.key: i for i, r in enumerate(rules)}
+    todo = {k: F.lit(True) for k in keys}
+    fresh = F.array(*[F.lit(k) for k in keys])
     if seen is not None:
-        known = seen.where(F.col("rule").isin(list(keys))).groupBy("blob").agg(F.collect_set("rule").alias("known"))
+        # of the ledger only what may be about these blobs is shuffled
+        own = only_possible(seen.where(F.col("rule").isin(list(keys))), key_filter(versions, ["blob"]), ["blob"])
+        known = own.groupBy("blob").agg(F.collect_set("rule").alias("known"))
         blobs = blobs.join(known, "blob", "left").where(F.coalesce(F.size("known"), F.lit(0)) < len(keys))
         todo = {k: ~F.coalesce(F.array_contains("known", k), F.lit(False)) for k in keys}
-    columns = []
-    for r in rules:
-        found = spans_of(F.col("text"), r, keys[r.key])
-        columns.append((found if seen is None else F.when(todo[r.key], found)).alias(r.name))
-    fresh = F.array(*[F.lit(k) for k in keys])
-    if seen is not None:
         fresh = F.array_except(fresh, F.coalesce("known", F.array().cast("array<string>")))
-    return blobs.select("blob", fresh.alias("rules"), *columns)
+    tried = [
+        F.struct(F.lit(keys[r.key]).alias("kind"), F.when(todo[r.key], pieces_of(F.col("text"), r)).alias("pieces"))
+        for r in rules
+    ]
+    found = blobs.select("blob", "text", fresh.alias("rules"), F.filter(F.array(*tried), lambda x: x["pieces"].isNotNull()).alias("hits"))
+    return found.select("blob", "rules", "hits", F.when(F.size("hits") > 0, F.col("text")).alias("text"))
+
+
+def _spans(scanned: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, kind, start, end), a row per span; positions are running sums over a rule's pieces of one blob."""
+    hits = scanned.select("blob", F.explode("hits").alias("hit"))
+    each = hits.select("blob", F.col("hit.kind").alias("kind"), F.posexplode("hit.pieces").alias("at", "piece"))
+    upto = Window.partitionBy("blob", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = each.withColumn("end", F.sum(F.col("piece.gap") + F.col("piece.hit")).over(upto).cast("int"))
+    least = F.element_at(F.array(*[F.lit(r.least) for r in rules]), F.col("kind") + 1)
+    return placed.where(F.col("piece.value") >= least).select("blob", "kind", (F.col("end") - F.col("piece.hit")).alias("start"), "end")
 
 
 class Ledger:
@@ -146,17 +158,10 @@ class Ledger:
         Findings are written before the pairs: a run that fails in between is repeated as a whole, and its
         findings are the same rows again, which reading counts once.
         """
-        fresh = stored(_scanned(_blobs(versions), rules, self.scanned))
-        found = reduce(
-            DataFrame.unionByName,
-            [
-                fresh.where(F.col(r.name).isNotNull())
-                .select("blob", F.lit(r.key).alias("rule"), F.explode(r.name).alias("s"))
-                .select("blob", "rule", "s.start", "s.end")
-                for r in rules
-            ],
-        )
-        found.write.mode("append").parquet(f"{self.path}/findings")
+        fresh = stored(_scanned(versions, rules, self.scanned))
+        names = F.array(*[F.lit(r.key) for r in rules])
+        found = _spans(fresh, rules).withColumn("rule", F.element_at(names, F.col("kind") + 1))
+        found.select("blob", "rule", "start", "end").write.mode("append").parquet(f"{self.path}/findings")
         pairs = fresh.select("blob", F.explode("rules").alias("rule"))
         pairs.write.mode("append").parquet(f"{self.path}/scanned")
 
@@ -183,16 +188,23 @@ def _shown(spans: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def _found(docs: DataFrame, ledger: Ledger | None, rules: tuple[Rule, ...]) -> DataFrame:
-    """(blob, found) of the contents of ``docs`` that have findings; found is sorted."""
-    versions = docs.select(content_address().alias("blob"), text_of().alias("text"))
-    if ledger is not None:
+def _versions(docs: DataFrame) -> DataFrame:
+    return docs.select(content_address().alias("blob"), text_of().alias("text"))
+
+
+def _found(docs: DataFrame, ledger: Ledger | None, rules: tuple[Rule, ...], texts: bool = False) -> DataFrame:
+    """(blob, found) of the contents of ``docs`` that have findings, sorted; with ``texts`` their text as well."""
+    versions = _versions(docs)
+    if ledger is None:
+        fresh = stored(_scanned(versions, rules, None))
+        by_blob = _spans(fresh, rules).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("found"))
+        contents = fresh.where("text is not null").select("blob", "text")
+    else:
         ledger.scan(versions, rules)
-        return stored(_by_blob(ledger.findings, rules))
-    fresh = stored(_scanned(_blobs(versions), rules, None))
-    some = reduce(lambda a, b: a | b, [F.col(r.name).isNotNull() for r in rules])
-    parts = [F.coalesce(r.name, F.expr(f"cast(array() as {_SPAN})")) for r in rules]
-    return fresh.where(some).select("blob", F.array_sort(F.concat(*parts)).alias("found"))
+        own = only_possible(ledger.findings, key_filter(versions, ["blob"]), ["blob"])
+        by_blob = stored(_by_blob(own, rules))
+        contents = _blobs(versions.join(by_blob.select("blob"), "blob", "left_semi"))
+    return stored(by_blob.join(contents, "blob")) if texts else by_blob
 
 
 def scan_secrets(docs: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -219,26 +231,41 @@ def secret_report(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
     )
 
 
-def masked(docs: DataFrame, ledger: Ledger | None = None, mark: str = "[SECRET]") -> DataFrame:
-    """The rows of ``docs``, all columns, with every span replaced; overlapping spans become one mark."""
-    rows = docs.select(F.struct("*").alias("row"), content_address().alias("blob"))
-    rows = rows.join(_found(docs, ledger, RULES), "blob", "left")
-    text = F.col("row.text")
-    state = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+def _clean_texts(contents: DataFrame, mark: str) -> DataFrame:
+    """(blob, clean): the texts with each run of overlapping spans replaced by one mark, chunk by chunk."""
+    spans = contents.select("blob", F.explode("found").alias("s")).select("blob", "s.start", "s.end")
+    order = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    parted = spans.withColumn("new", (F.col("start") >= F.coalesce(F.max("end").over(order), F.lit(-1))).cast("int"))
+    upto = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = parted.withColumn("run", F.sum("new").over(upto)).groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    chunks = F.sequence(F.floor(F.col("start") / CHUNK).cast("int"), F.floor((F.col("end") - 1) / CHUNK).cast("int"))
+    held = runs.withColumn("chunk", F.explode(chunks)).withColumn("low", F.col("chunk") * CHUNK)
+    hole = F.struct(
+        F.greatest(F.col("start") - F.col("low"), F.lit(0)).alias("start"),
+        F.least(F.col("end") - F.col("low"), F.lit(CHUNK)).alias("end"),
+        F.when(F.col("start") >= F.col("low"), F.lit(mark)).otherwise("").alias("mark"),
+    )
+    holes = held.groupBy("blob", "chunk").agg(F.array_sort(F.collect_list(hole)).alias("holes"))
+    parts = contents.select("blob", F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{CHUNK}}})"), 1)).alias("chunk", "part"))
 
     def step(s: Column, x: Column) -> Column:
-        gap = F.substring(text, s["at"], F.greatest(x["start"] + 1 - s["at"], F.lit(0)))
-        new = x["start"] + 1 >= s["at"]
-        return F.struct(
-            F.greatest(s["at"], x["end"] + 1).alias("at"),
-            F.when(new, F.concat(s["out"], gap, F.lit(mark))).otherwise(s["out"]).alias("out"),
-        )
-
-    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"], F.length(text)))
-    clean = F.when(F.col("found").isNotNull(), F.aggregate("found", state, step, rest)).otherwise(text)
-    return rows.select("row.*", clean.alias("__clean")).select(
-        *[F.col("__clean").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    )
+        gap = F.substring(F.col("part"), s["at"] + 1, x["start"] - s["at"])
+        return F.struct(x["end"].alias("at"), F.concat(s["out"], gap, x["mark"]).alias("out"))
+
+    rest = lambda s: F.concat(s["out"], F.substring(F.col("part"), s["at"] + 1, F.lit(CHUNK)))
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    masked_part = F.when(F.col("holes").isNull(), F.col("part")).otherwise(F.aggregate("holes", state, step, rest))
+    done = parts.join(holes, ["blob", "chunk"], "left").select("blob", F.struct("chunk", masked_part.alias("part")).alias("p"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["part"]), "")
+    return done.groupBy("blob").agg(joined.alias("clean"))
+
+
+def masked(docs: DataFrame, ledger: Ledger | None = None, mark: str = "[SECRET]") -> DataFrame:
+    """The rows of ``docs``, all columns, with every span replaced; overlapping spans become one mark."""
+    clean = stored(_clean_texts(_found(docs, ledger, RULES, texts=True), mark))
+    rows = docs.select(F.struct("*").alias("row"), content_address().alias("blob")).join(clean, "blob", "left")
+    field = lambda c: F.col("row").getField(c)
+    return rows.select(*[(F.coalesce("clean", field(c)) if c == "text" else field(c)).alias(c) for c in docs.columns])
 
 
 SQL = r"""
@@ -274,4 +301,6 @@ FROM d LEFT JOIN found USING (doc_id)
 
 @query("op3_secrets", SQL)
 def op3_secrets(spark, sf_dir):
-    return secret_report(table(spark, sf_dir, "documents"))
+    """Every document's content through a ledger that starts empty; the findings are read back from it."""
+    ledger = Ledger(spark, scratch_path(spark, "secret-ledger"))
+    return secret_report(table(spark, sf_dir, "documents"), ledger)
