@@ -3,7 +3,9 @@
 The automaton accepts every run of consecutive item words. Training tokens are streamed through it; at
 each word it knows the longest run that ends there. A run of ``window`` words is an occurrence, and so is
 a whole item that is shorter. Words inside occurrences are hit; a document is contaminated if it has hits
-and they make up at least ``1 / coverage`` of its words.
+and they make up at least ``1 / coverage`` of its words. ``remove_spans`` cuts every span of hit words, which
+exceeds the length limit, out of the text, from its first word to its last, and removes the documents that
+exceed the coverage limit; ``drop_contaminated`` only does the latter.
 
 Only stretches of words whose neighbours also stand side by side in some item can hold an occurrence, so
 everything else is skipped by array lookups before the automaton runs.
@@ -35,11 +37,12 @@ COVERAGE = 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _GAPS = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-#: Words of items that one automaton holds; more items are taken in several passes over the documents.
-MAX_ITEM_WORDS = 1_000_000
+#: Words of items that one automaton holds, some 900 bytes each in a worker; more items are taken in several
+#: passes over the documents.
+MAX_ITEM_WORDS = 150_000
 
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 _PART = "doc_id long, row_key long, n_words long, hits array<struct<s:int,e:int>>, items array<string>"
+_CLEAN = f"{_PART}, clean string"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -153,6 +156,21 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words [first, end) of each span and what lies between them; spans are disjoint, in order."""
+    words = [m.span() for m in re.finditer(WORD, text.translate(_UPPER))]
+    out, at = [], 0
+    for first, end in spans:
+        out.append(text[at : words[first][0]])
+        at = words[end - 1][1]
+    return "".join([*out, text[at:]])
+
+
+def _cut_texts(texts: list[str | None], hits: list) -> list[str | None]:
+    """Texts of rows with hits, cut; None for the others."""
+    return [cut_text(t, [(x["s"], x["e"]) for x in h]) if h else None for t, h in zip(texts, hits)]
+
+
 def _scan(automaton, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a = opened(automaton)
     for batch in batches:
@@ -207,14 +225,38 @@ def find_contamination(
 ) -> DataFrame:
     """Per row: doc_id, row_key, n_words, hits (merged word spans), items (names, sorted as strings).
 
-    An automaton of at most ``max_item_words`` words is broadcast; with more items the documents are read
-    once per group of items and the findings are united.
+    ``clean`` is the text without the spans, where there are any. An automaton of at most ``max_item_words``
+    words is broadcast; with more items the documents are read once per group of items and the findings are
+    united.
     """
     source = with_row_key(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     automata = list(_automata(items, window, max_item_words))
-    if len(automata) > 1:
-        source = stored(source)  # fixes the row keys
-    return _found(source, automata)
+    if len(automata) == 1:
+        return source.mapInArrow(lambda it: _cleaned(_scanned_with_text(automata[0], it)), _CLEAN)
+    source = stored(source)  # fixes the row keys
+    found = _found(source, automata)
+    hit = found.where(F.size("hits") > 0).join(source.select("row_key", "text"), "row_key")
+    clean = hit.select(*[x.split()[0] for x in _PART.split(", ")], "text").mapInArrow(_cleaned, _CLEAN)
+    return clean.unionByName(found.where(F.size("hits") == 0).withColumn("clean", F.lit(None).cast("string")))
+
+
+def _scanned_with_text(automaton, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        done = 0
+        for part in _scan(automaton, iter([batch])):
+            text = batch.column("text").slice(done, part.num_rows)
+            done += part.num_rows
+            yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*part.schema.names, "text"])
+
+
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hits = batch.column("hits")
+        some = pc.greater(pc.list_value_length(hits), 0)
+        texts = pc.if_else(some, batch.column("text"), pa.scalar(None, batch.column("text").type)).to_pylist()
+        clean = pa.array(_cut_texts(texts, hits.to_pylist()), pa.string())
+        columns = [batch.column(x.split()[0]) for x in _PART.split(", ")]
+        yield pa.RecordBatch.from_arrays([*columns, clean], names=[x.split()[0] for x in _CLEAN.split(", ")])
 
 
 def _found(source: DataFrame, automata: list[Broadcast]) -> DataFrame:
@@ -241,7 +283,7 @@ _MERGE = """aggregate(array_sort(hits), cast(array() as array<struct<s:int,e:int
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
-    """The digest per document: counts, the item names' hash, and the verdict."""
+    """The digest per document: counts, the item names' hash, the verdict, and the hash of the text without the spans."""
     found = find_contamination(docs, items, window)
     hit = F.expr("cast(aggregate(hits, 0, (n, x) -> n + x.e - x.s) as long)")
     return found.withColumn("n_hit", hit).select(
@@ -251,19 +293,50 @@ def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words"))).alias("contaminated"),
+        F.sha2("clean", 256).alias("clean_sha256"),
     )
 
 
-def _cut(automaton, columns: list[str], coverage: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(automaton, columns: list[str], coverage: int, spans: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = columns.index("text")
     for batch in batches:
         ids = pa.array(np.zeros(batch.num_rows, dtype=np.int64))
-        texts = batch.column(columns.index("text"))
-        bad = [np.zeros(0, dtype=bool)]
-        for part in _scan(automaton, iter([pa.RecordBatch.from_arrays([ids, texts, ids], ["doc_id", "text", "row_key"])])):
-            n = part.column("n_words").to_numpy()
-            hit = np.array([sum(x["e"] - x["s"] for x in h) for h in part.column("hits").to_pylist()], dtype=np.int64)
+        source = pa.RecordBatch.from_arrays([ids, batch.column(at), ids], ["doc_id", "text", "row_key"])
+        bad, clean = [np.zeros(0, dtype=bool)], []
+        for part in _scanned_with_text(automaton, iter([source])):
+            n, hits = part.column("n_words").to_numpy(), part.column("hits").to_pylist()
+            hit = np.array([sum(x["e"] - x["s"] for x in h) for h in hits], dtype=np.int64)
             bad.append((hit > 0) & (hit * coverage >= n))
-        yield batch.filter(pa.array(~np.concatenate(bad)))
+            if spans:
+                texts = part.column("text").to_pylist()
+                clean += [t if c is None else c for t, c in zip(texts, _cut_texts(texts, hits))]
+        kept = pa.array(~np.concatenate(bad))
+        if spans:
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.column(at).type))
+        yield batch.filter(kept)
+
+
+def _without(docs: DataFrame, items: DataFrame, window: int, coverage: int, max_item_words: int, spans: bool) -> DataFrame:
+    automata = list(_automata(items, window, max_item_words))
+    if len(automata) == 1:
+        columns = docs.columns
+        return docs.mapInArrow(lambda it: _cut(automata[0], columns, coverage, spans, it), docs.schema)
+    keyed = stored(with_row_key(docs.select(F.struct("*").alias("row"))))
+    source = keyed.select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").cast("string").alias("text"), "row_key"
+    )
+    found = stored(_found(source, automata).where(F.size("hits") > 0))
+    n_hit = F.expr("aggregate(hits, 0, (n, x) -> n + x.e - x.s)")
+    over = n_hit * coverage >= F.col("n_words")
+    kept = keyed.join(found.where(over).select("row_key"), "row_key", "left_anti")
+    if not spans:
+        return kept.select("row.*")
+    hit = found.where(~over).join(source.select("row_key", "text"), "row_key")
+    clean = hit.select(*[x.split()[0] for x in _PART.split(", ")], "text").mapInArrow(_cleaned, _CLEAN).select("row_key", "clean")
+    field = lambda c: F.col("row").getField(c)
+    return kept.join(clean, "row_key", "left").select(
+        *[(F.coalesce("clean", field(c)) if c == "text" else field(c)).alias(c) for c in docs.columns]
+    )
 
 
 def drop_contaminated(
@@ -277,18 +350,18 @@ def drop_contaminated(
 
     One narrow pass for one automaton; with more, hits are united by row before the verdict.
     """
-    automata = list(_automata(items, window, max_item_words))
-    if len(automata) == 1:
-        columns = docs.columns
-        return docs.mapInArrow(lambda it: _cut(automata[0], columns, coverage, it), docs.schema)
-    keyed = stored(with_row_key(docs.select(F.struct("*").alias("row"))))
-    source = keyed.select(
-        F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").cast("string").alias("text"), "row_key"
-    )
-    found = _found(source, automata)
-    n_hit = F.expr("aggregate(hits, 0, (n, x) -> n + x.e - x.s)")
-    bad = found.where((n_hit > 0) & (n_hit * coverage >= F.col("n_words"))).select("row_key")
-    return keyed.join(bad, "row_key", "left_anti").select("row.*")
+    return _without(docs, items, window, coverage, max_item_words, spans=False)
+
+
+def remove_spans(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    coverage: int = COVERAGE,
+    max_item_words: int = MAX_ITEM_WORDS,
+) -> DataFrame:
+    """The rows that are not contaminated, all columns, with every span of hit words cut out of their text."""
+    return _without(docs, items, window, coverage, max_item_words, spans=True)
 
 
 SQL = r"""
@@ -310,11 +383,26 @@ hits AS (SELECT doc_id, g.size, i, item FROM grams g JOIN windows x ON x.gram =
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
           FROM (SELECT DISTINCT doc_id, size, i FROM hits), unnest(range(i, i + size)) AS u(p) GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-          FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id),
+spots AS (SELECT DISTINCT doc_id, p FROM (SELECT DISTINCT doc_id, size, i FROM hits), unnest(range(i, i + size)) AS u(p)),
+pieces AS (
+  SELECT doc_id, piece, nth, count(*) FILTER (regexp_matches(piece, '^[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]'))
+           OVER (PARTITION BY doc_id ORDER BY nth) AS word, regexp_matches(piece, '^[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]') AS is_word
+  FROM (SELECT doc_id, unnest(ps) AS piece, unnest(range(len(ps))) AS nth
+        FROM (SELECT doc_id, regexp_extract_all(text,
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ps
+              FROM documents WHERE doc_id IN (SELECT doc_id FROM spots)))),
+clean AS (
+  SELECT p.doc_id, sha256(coalesce(string_agg(piece, '' ORDER BY nth) FILTER (
+    CASE WHEN is_word THEN here.p IS NULL ELSE here.p IS NULL OR next.p IS NULL END), '')) AS clean_sha256
+  FROM pieces p LEFT JOIN spots here ON here.doc_id = p.doc_id AND here.p = p.word
+    LEFT JOIN spots next ON next.doc_id = p.doc_id AND next.p = p.word + 1
+  GROUP BY p.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       clean_sha256
+FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN clean USING (doc_id)
 """
 
 
