@@ -65,3 +65,46 @@ def test_stages(spark, sf):
 
     before, after = kept["packing"]
     check_packing(after, {r.doc_id: r.text for r in before})
+
+
+ODD = [
+    (1, None), (2, ""), (3, " \n\t"), (4, "token: abcdefgh12 and more words"), (5, "the same text of a few words"),
+    (6, "the same text of a few words"), (6, "the same text of a few words"), (None, "no id"), (7, "word " * 50_000),
+]
+
+
+def odd_documents(spark, rows):
+    """The columns of documents and some that carry the names of internal ones."""
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'src' AS source", "cast(length(text) as bigint) AS n_chars"
+    )
+    return df.selectExpr("*", *[f"'x' AS `{c}`" for c in ("row_key", "clean", "blob", "score", "component_id", "__mark", "found")])
+
+
+def test_odd_documents_pass_the_stages(spark, sf):
+    plain = [(i, f"a plain sentence number {i} about nothing much") for i in range(100, 160)]
+    docs = odd_documents(spark, ODD + plain)
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    for name in ("near duplicates", "decontamination", "secret scans"):
+        docs = corpus_pipeline.stored(stages[name](spark, docs, sf))
+        assert docs.columns == columns
+    left = {r.doc_id: r for r in docs.collect()}
+    # blank texts are one group, equal ones another; a row without an id stays; secrets are masked
+    assert set(left) - {d for d, _ in plain} == {1, 4, 5, 7, None}
+    assert left[4].text == "[SECRET] and more words" and left[4].n_chars == len(left[4].text)
+    pieces = stages["packing"](spark, docs, sf).collect()
+    assert {r.doc_id for r in pieces} == set(left)
+
+
+def test_no_documents_pass_the_stages(spark, sf):
+    docs = odd_documents(spark, ODD).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, sf))
+        assert docs.count() == 0, name
+
+
+def test_quality_stage_takes_odd_documents(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = odd_documents(spark, [(d if d is None else d + 10**6, t) for d, t in ODD]).select(docs.columns)
+    kept = corpus_pipeline.quality(spark, docs.unionByName(odd), sf)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count() + len(ODD)
