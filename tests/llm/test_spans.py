@@ -100,8 +100,9 @@ def slow_cut(text, window=13, coverage=20):
     return (text if not hit else "".join([*out, text[at:]]),)
 
 
-@pytest.mark.parametrize("most", [decontaminate.MAX_ITEM_WORDS, 15])
-def test_spans_are_cut_out(spark, most):
+@pytest.mark.parametrize(("most", "rows_at_once"), [(decontaminate.MAX_ITEM_WORDS, 2_000), (decontaminate.MAX_ITEM_WORDS, 2), (15, 3)])
+def test_spans_are_cut_out(spark, monkeypatch, most, rows_at_once):
+    monkeypatch.setattr(decontaminate, "ROWS", rows_at_once)
     long = [f"w{i}" for i in range(900)]
     item = ITEMS[0][1].split()
     rows = [
@@ -116,6 +117,7 @@ def test_spans_are_cut_out(spark, most):
         (6, " ".join(long)),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit("x").alias("clean"), F.lit(1).alias("row_key"))
+    docs = docs.coalesce(1)
     items = spark.createDataFrame([*ITEMS, ("a", ITEMS[0][1]), ("d", None)], "item_id string, text string")
     want = sorted(((d, *c) for d, t in rows if (c := slow_cut(t)) is not None), key=str)
     got = decontaminate.remove_spans(docs, items, max_item_words=most)

@@ -41,6 +41,9 @@ _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 #: passes over the documents.
 MAX_ITEM_WORDS = 150_000
 
+#: Rows scanned together.
+ROWS = 2_000
+
 _PART = "doc_id long, row_key long, n_words long, hits array<struct<s:int,e:int>>, items array<string>"
 _CLEAN = f"{_PART}, clean string"
 
@@ -174,8 +177,8 @@ def _cut_texts(texts: list[str | None], hits: list) -> list[str | None]:
 def _scan(automaton, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a = opened(automaton)
     for batch in batches:
-        for lo in range(0, batch.num_rows, 2000):
-            part = batch.slice(lo, 2000)
+        for lo in range(0, batch.num_rows, ROWS):
+            part = batch.slice(lo, ROWS)
             text = pc.ascii_lower(pc.fill_null(part.column("text"), ""))
             spaced = pc.ascii_trim(pc.replace_substring_regex(text, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " ")
             lists = pc.split_pattern(spaced, " ")
@@ -252,11 +255,13 @@ def _scanned_with_text(automaton, batches: Iterator[pa.RecordBatch]) -> Iterator
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hits = batch.column("hits")
-        some = pc.greater(pc.list_value_length(hits), 0)
-        texts = pc.if_else(some, batch.column("text"), pa.scalar(None, batch.column("text").type)).to_pylist()
-        clean = pa.array(_cut_texts(texts, hits.to_pylist()), pa.string())
+        rows = np.flatnonzero(pc.greater(pc.list_value_length(hits), 0).to_numpy(zero_copy_only=False))
+        some = pa.array(rows)
+        clean = np.full(batch.num_rows, None, dtype=object)
+        clean[rows] = _cut_texts(batch.column("text").take(some).to_pylist(), hits.take(some).to_pylist())
         columns = [batch.column(x.split()[0]) for x in _PART.split(", ")]
-        yield pa.RecordBatch.from_arrays([*columns, clean], names=[x.split()[0] for x in _CLEAN.split(", ")])
+        names = [x.split()[0] for x in _CLEAN.split(", ")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(clean, pa.string())], names=names)
 
 
 def _found(source: DataFrame, automata: list[Broadcast]) -> DataFrame:
