@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
+import re
 import sys
 import types
+from collections.abc import Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +21,30 @@ ROWS_PER_BUCKET = 20_000
 LEAST_BUCKETS = 64
 
 
+#: Bytes of an Arrow batch sent to a Python worker: it is held several times over, on both sides of the pipe.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, unless it has a smaller bound; by default only rows are counted."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(_BATCH_SETTING).lower()).groups()
+    bound = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+    if not 0 < bound <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gives memory that a task has freed back to the system at its end, as the worker lives on for other tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +54,7 @@ def stored(df: DataFrame) -> DataFrame:
     What it was made from is not needed again. Spark deletes the shuffle files of a finished plan when the
     driver collects its garbage, which an idle driver may not do for long, so it is asked to.
     """
+    small_batches(df.sparkSession)
     table = cut_lineage(df)
     df.sparkSession.sparkContext._jvm.System.gc()
     return table

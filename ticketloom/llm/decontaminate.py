@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import opened, shared, stored, table, with_row_key
+from ticketloom.llm.common import opened, released, shared, stored, table, with_row_key
 from ticketloom.llm.registry import query
 
 WINDOW = 13
@@ -235,7 +235,7 @@ def find_contamination(
     source = with_row_key(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     automata = list(_automata(items, window, max_item_words))
     if len(automata) == 1:
-        return source.mapInArrow(lambda it: _cleaned(_scanned_with_text(automata[0], it)), _CLEAN)
+        return source.mapInArrow(lambda it: released(_cleaned(_scanned_with_text(automata[0], it))), _CLEAN)
     source = stored(source)  # fixes the row keys
     found = _found(source, automata)
     hit = found.where(F.size("hits") > 0).join(source.select("row_key", "text"), "row_key")
@@ -325,7 +325,7 @@ def _without(docs: DataFrame, items: DataFrame, window: int, coverage: int, max_
     automata = list(_automata(items, window, max_item_words))
     if len(automata) == 1:
         columns = docs.columns
-        return docs.mapInArrow(lambda it: _cut(automata[0], columns, coverage, spans, it), docs.schema)
+        return docs.mapInArrow(lambda it: released(_cut(automata[0], columns, coverage, spans, it)), docs.schema)
     keyed = stored(with_row_key(docs.select(F.struct("*").alias("row"))))
     source = keyed.select(
         F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.text").cast("string").alias("text"), "row_key"

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from ticketloom.llm.common import buckets_for, stored, table
+from ticketloom.llm.common import buckets_for, released, stored, table
 from ticketloom.llm.registry import query
 from ticketloom.llm.tokens import TOKENIZER, encoder, slices
 
@@ -189,7 +189,7 @@ def pack_documents(
     """A row per piece: document, place in it, CRC-32 of its ids, sequence and offset there."""
     end = np.array([end_id], dtype="<u4").tobytes()
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pieces = stored(source.mapInArrow(lambda it: _tokenised(tokenizer, capacity, end, it), _PIECES))
+    pieces = stored(source.mapInArrow(lambda it: released(_tokenised(tokenizer, capacity, end, it)), _PIECES))
     tails = pieces.where(F.col("sequence_id").isNull())
     groups = buckets_for(tails.count(), group)
     dealt = tails.withColumn("__group", F.pmod(F.xxhash64("row_key"), F.lit(groups)))

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import opened, shared, table, text_of
+from ticketloom.llm.common import opened, released, shared, table, text_of
 from ticketloom.llm.registry import query
 
 BUCKETS = 1 << 16
@@ -215,7 +215,7 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
     """doc_id, held_out, score and predicted class of every row, in one narrow pass."""
     sent = shared(docs.sparkSession, model)
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    scored = source.mapInArrow(lambda it: _scored(sent, None, it), "doc_id long, score double")
+    scored = source.mapInArrow(lambda it: released(_scored(sent, None, it)), "doc_id long, score double")
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -224,7 +224,7 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that the model accepts."""
     sent = shared(docs.sparkSession, model)
-    return docs.mapInArrow(lambda it: _scored(sent, threshold, it), docs.schema)
+    return docs.mapInArrow(lambda it: released(_scored(sent, threshold, it)), docs.schema)
 
 
 @query("op8_quality")

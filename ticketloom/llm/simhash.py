@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import stored, table, with_row_key
+from ticketloom.llm.common import released, stored, table, with_row_key
 from ticketloom.llm.components import components, forest
 from ticketloom.llm.registry import query
 
@@ -164,7 +164,7 @@ def _roots(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, Dat
     """Stored (row_key, doc_id, mark) of every row, and (mark, root) of marks that link to others."""
     source = docs.select("row_key", F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = stored(
-        source.mapInArrow(lambda it: _fingerprints(shingle, it), "row_key long, doc_id long, mark long")
+        source.mapInArrow(lambda it: released(_fingerprints(shingle, it)), "row_key long, doc_id long, mark long")
     )
     edges = near_links(rows.select("mark").distinct(), distance)
     roots = components(edges).withColumnsRenamed({"node": "mark", "component": "root"})
