@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
@@ -26,6 +28,9 @@ from ticketloom.operators.joins import CACHE_KEYS, cache_lookup, cache_misses, t
 from ticketloom.operators.skew import skew_join
 from ticketloom.session import cut_lineage
 
+#: Texts whose terms a task counts at once.
+TERM_ROWS = 2048
+
 
 def with_terms(df: DataFrame, col: str = "text", out: str = "terms") -> DataFrame:
     """Adds the words of a text followed by its pairs of neighbouring words."""
@@ -38,17 +43,25 @@ def with_terms(df: DataFrame, col: str = "text", out: str = "terms") -> DataFram
     return df.withColumn("__words", words).withColumn(out, F.concat("__words", pairs)).drop("__words")
 
 
-def term_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
-    """(term, count, doc_count) over the whole table; combined per task before the shuffle."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences and rows of each term of a batch of term lists, ``TERM_ROWS`` lists at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), TERM_ROWS):
+            lists = batch.column(0).slice(at, TERM_ROWS)
+            coded = pc.list_flatten(lists).dictionary_encode()
+            codes, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+            if not n:
+                continue
+            key = np.sort(pc.list_parent_indices(lists).to_numpy(zero_copy_only=False) * np.int64(n) + codes)
+            first = np.concatenate([[True], key[1:] != key[:-1]])
+            count, docs = np.bincount(codes, minlength=n), np.bincount(key[first] % n, minlength=n)
+            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(count), pa.array(docs)], names=["term", "n", "docs"])
 
-    def rows(source, docs: int, n: int):
-        return F.transform(
-            source, lambda t: F.struct(t.alias("term"), F.lit(docs).alias("docs"), F.lit(n).alias("n"))
-        )
 
-    both = F.concat(rows(F.array_distinct(terms), 1, 0), rows(F.col(terms), 0, 1))
-    exploded = df.select(F.inline(both))
-    return exploded.groupBy("term").agg(F.sum("n").alias("count"), F.sum("docs").alias("doc_count"))
+def term_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
+    """(term, count, doc_count) over the whole table; counted per batch of texts before Spark adds the counts up."""
+    counted = df.select(terms).mapInArrow(_counted, "term string, n bigint, docs bigint")
+    return counted.groupBy("term").agg(F.sum("n").alias("count"), F.sum("docs").alias("doc_count"))
 
 
 def vocabulary(df: DataFrame, size: int = K.VOCABULARY_SIZE, terms: str = "terms") -> DataFrame:
