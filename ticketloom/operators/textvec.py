@@ -155,11 +155,12 @@ def incremental_embeddings(
     """
     model = encoder.name
     keys = text_keys(texts, model, col, id_col)
-    new = cut_lineage(embed_texts(cache_misses(texts, cache, model, col), encoder, "text"))
+    new = embed_texts(cache_misses(texts, cache, model, col), encoder, "text")
+    new = cut_lineage(new.withColumn("text", text.left_n(F.col("text"), K.CACHE_TEXT_CHARS)))
     additions = new.select(
         "text_hash",
         F.lit(model).alias("model_name"),
-        text.left_n(F.col("text"), K.CACHE_TEXT_CHARS).alias("text_content"),
+        F.col("text").alias("text_content"),
         "embedding",
         F.lit(now).cast("timestamp_ntz").alias("created_at"),
     )

@@ -19,11 +19,16 @@ from ticketloom.operators import (
     sampling,
     textvec,
 )
+from ticketloom.operators.skew import is_small
 from ticketloom.plans.enrich import training_table
 from ticketloom.session import cut_lineage, scratch_scope
 from ticketloom.sources import snapshots
 
 
+#: What the search, the training and the evaluation read of the feature table.
+TRAINED_ON = ["id", "refined_queue", "urgency_level", "features"]
+
+
 @dataclass
 class LoopParams:
     """Settings of one run; the drift windows hold all rows unless a sample size is given."""
@@ -81,10 +86,13 @@ def training_data(base: DataFrame, log: DataFrame, since, root: str, stamp: str,
     """Base tickets plus corrections given since ``since``, stored once as a snapshot and read back.
 
     What counts is when a correction was given, not when the prediction was made. A prediction corrected
-    again after the last snapshot replaces its older row.
+    again after the last snapshot replaces its older row. Such rows are found by their ids; where they are few, no
+    texts are shuffled to leave them out.
     """
     corrected = projections.since(log, F.lit(since).cast("timestamp_ntz"), "feedback_at")
-    base = base.join(corrected.select((-F.col("id") - 1).alias("id")).distinct(), "id", "left_anti")
+    replaced = base.select("id").join(corrected.select((-F.col("id") - 1).alias("id")), "id", "left_semi")
+    replaced = cut_lineage(replaced.distinct())
+    base = base.join(F.broadcast(replaced) if is_small(replaced) else replaced, "id", "left_anti")
     merged = feedback.append_feedback(base, corrected, params.keywords)
     path = snapshots.write_snapshot(merged, root, stamp)
     return base.sparkSession.read.parquet(path)
@@ -99,8 +107,11 @@ def embedded_features(data: DataFrame, cache: DataFrame, encoder, now) -> tuple[
 
 
 def retrain(features: DataFrame, params: LoopParams, run_id: str, dataset: str) -> tuple[DataFrame, dict]:
-    """Search, train, evaluate and gate both classifiers: the run record and the models by target."""
-    usable = aggregates.drop_rare_classes(cut_lineage(features), "refined_queue")
+    """Search, train, evaluate and gate both classifiers: the run record and the models by target.
+
+    ``features`` is read several times; of its columns only ``TRAINED_ON`` are stored again.
+    """
+    usable = aggregates.drop_rare_classes(features.select(*TRAINED_ON), "refined_queue")
     data = cut_lineage(sampling.stratified_split(usable, ["refined_queue"], params.test, 0.0, params.seed))
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     tuning = sampling.stratified_sample(train, ["refined_queue", "urgency_level"], params.tuning_rows, params.seed)
@@ -165,10 +176,12 @@ def monitor_and_retrain(
         )
     base, since = base_and_since(enriched, root, since)
     data = training_data(base, log, since, root, stamp, params)
-    features, additions = embedded_features(data, cache, encoder, now)
-    if cache_path:
-        additions.write.mode("append").parquet(cache_path)
     with scratch_scope(enriched.sparkSession) as scope:  # feature tables and folds are not needed afterwards
+        with scratch_scope(enriched.sparkSession) as encoding:  # nor hashes and new vectors once features are stored
+            features, additions = embedded_features(data, cache, encoder, now)
+            if cache_path:
+                additions.write.mode("append").parquet(cache_path)
+            features = encoding.kept(features.select(*TRAINED_ON))
         record, fitted = retrain(features, params, stamp, f"snapshot={stamp}")
         record = scope.kept(record)
     if model_root and record.first()["status"] == "success":

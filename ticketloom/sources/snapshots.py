@@ -10,9 +10,12 @@ from ticketloom.session import folder_names
 
 
 def write_snapshot(df: DataFrame, root: str, stamp: str) -> str:
-    """Write ``df`` as snapshot ``stamp`` (yyyyMMdd_HHmmss); an existing snapshot is never replaced."""
+    """Write ``df`` as snapshot ``stamp`` (yyyyMMdd_HHmmss); an existing snapshot is never replaced.
+
+    Snapshots are kept and hold whole texts, so they are compressed more than scratch tables.
+    """
     path = f"{root}/snapshot={stamp}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return path
 
 
