@@ -26,7 +26,7 @@ from ticketloom.functions import text
 from ticketloom.operators.feedback import insert_ignore
 from ticketloom.operators.joins import CACHE_KEYS, cache_lookup, cache_misses, text_keys
 from ticketloom.operators.skew import skew_join
-from ticketloom.session import cut_lineage
+from ticketloom.session import cut_lineage, free_shuffles
 
 #: Texts whose terms a task counts at once.
 TERM_ROWS = 2048
@@ -157,6 +157,7 @@ def incremental_embeddings(
     keys = text_keys(texts, model, col, id_col)
     new = embed_texts(cache_misses(texts, cache, model, col), encoder, "text")
     new = cut_lineage(new.withColumn("text", text.left_n(F.col("text"), K.CACHE_TEXT_CHARS)))
+    free_shuffles(new.sparkSession)  # the texts that were looked up
     additions = new.select(
         "text_hash",
         F.lit(model).alias("model_name"),
